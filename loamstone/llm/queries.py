@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loamstone.functions.domains import plain_domain
-from loamstone.llm import cutoffs, splitting, tokenizer
+from loamstone.llm import cutoffs, neardup, splitting, tokenizer
 from loamstone.sources.tables import table
 
 #: The folder of the public tokenizers' files on every machine.
@@ -36,11 +36,26 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("domain", "cutoff", "kept")
 
 
+def _titled(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "research_record").select("id", "title", "summary")
+    return rows.where(F.col("summary").rlike(r"[^\s\p{Z}]"))
+
+
+def p6_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per record with its group and the number of its text's links."""
+    text = F.concat_ws(" ", "title", "summary")
+    return neardup.near_duplicate_groups(_titled(spark, folder), "id", text)
+
+
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.group_pairs(p6_groups(spark, folder), "id").toDF("id_a", "id_b")
+
+
 def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
     return tokenizer.encode_corpus(table(spark, folder, "documents").select("doc_id", "text"), "text", BYTE_BPE)
 
 
-QUERIES = {"p3_found": p3_found, "p4_found": p4_found, "p7_ids": p7_ids}
+QUERIES = {"p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p6_groups": p6_groups, "p7_ids": p7_ids}
 
 SQL = {
     "p4_found": r"""
