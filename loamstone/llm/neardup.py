@@ -14,12 +14,11 @@ that are spread over tasks. So no key is capped, nothing is sampled, and a group
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loamstone.llm.components import components
@@ -78,6 +77,13 @@ def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.bitwise_count((x | (x >> np.uint64(1)) | (x >> np.uint64(2))) & _ONES)
 
 
+def _apart_codes(a: Column, b: Column) -> Column:
+    """Whether two sketches differ in at most SKETCH_MOST codes."""
+    x = a.bitwiseXOR(b)
+    x = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseOR(F.shiftrightunsigned(x, 2))
+    return F.bit_count(x.bitwiseAND(F.lit(int(_ONES)))) <= SKETCH_MOST
+
+
 def _long(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 

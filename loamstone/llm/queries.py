@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loamstone.functions.domains import plain_domain
-from loamstone.llm import cutoffs, neardup, splitting, tokenizer
+from loamstone.llm import cutoffs, incremental, neardup, splitting, tokenizer
 from loamstone.sources.tables import table
 
 #: The folder of the public tokenizers' files on every machine.
@@ -16,6 +16,13 @@ TOKENIZERS = os.environ.get("PUBLIC_TOKENIZERS", "/opt/tokenizers")
 BYTE_BPE = f"{TOKENIZERS}/byte_bpe_50k.json"
 
 
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    accepted = table(spark, folder, "research_record").where("status = 'accepted'").select("source.url", "summary")
+    seen = table(spark, folder, "seen_urls").select("url", "content_hash")
+    digests = seen.join(accepted.select("url"), "url", "left_semi")
+    return incremental.repeated_records(accepted, table(spark, folder, "incoming_record"), digests)
+
+
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return splitting.split_oversized(table(spark, folder, "raw"), "raw_id", "content")
 
@@ -55,7 +62,7 @@ def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
     return tokenizer.encode_corpus(table(spark, folder, "documents").select("doc_id", "text"), "text", BYTE_BPE)
 
 
-QUERIES = {"p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p6_groups": p6_groups, "p7_ids": p7_ids}
+QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p6_groups": p6_groups, "p7_ids": p7_ids}
 
 SQL = {
     "p4_found": r"""
