@@ -3,7 +3,7 @@
 A text's tokens are its word shingles, in an order from rare to common. If two texts of n and m shingles have a
 similarity of at least t, they share at least t / (1 + t) * (n + m) of them, so the first shared one stands early in
 both: only the first n - ceil(t * n) + 1 tokens of a text need to be in the index. A posting is (token, text, batch,
-size, rank, sketch). A batch's prefixes are joined with the postings by token; the sizes, the ranks (positional bound)
+size, rank, s0, s1). A batch's prefixes are joined with the postings by token; the sizes, the ranks (positional bound)
 and the distance of the sketches are tested inside the join, so only few pairs leave it, and these are verified on
 their whole shingle sets. Accepted records of the batch then append their postings; the history is not read again.
 
@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamstone.llm.neardup import _apart_codes, _long, _sketch, _verified, shingled, signatures
+from loamstone.llm.neardup import _long, codes_near, shingled, signatures, sketches, verified
 from loamstone.session import checkpointed, shared_dir, stored
 
 BUCKET_BITS = 18
@@ -58,7 +58,7 @@ def token_counts(sets: DataFrame) -> np.ndarray:
 
 
 def postings(sets: DataFrame, counts: np.ndarray, threshold: float) -> DataFrame:
-    """(token, node, batch, size, rank, sketch) of the prefixes of (node, batch, codes)."""
+    """(token, node, batch, size, rank, s0, s1) of the prefixes of (node, batch, codes)."""
     shared = sets.sparkSession.sparkContext.broadcast(counts.astype(np.int32))
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -75,16 +75,16 @@ def postings(sets: DataFrame, counts: np.ndarray, threshold: float) -> DataFrame
             rank = np.arange(len(codes)) - offsets[:-1][row]
             keep = rank < (n - np.ceil(threshold * n - 1e-9).astype(np.int64) + 1)[row]
             row, rank, token = row[keep], rank[keep], codes[order][keep]
-            sketch = _sketch(signatures(codes.view(np.uint32), offsets))
+            s0, s1 = sketches(signatures(codes.view(np.uint32), offsets))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(token), batch.column(0).take(pa.array(row)), batch.column(1).take(pa.array(row)),
-                    pa.array(n[row].astype(np.int32)), pa.array(rank.astype(np.int32)), _long(sketch[row]),
+                    pa.array(n[row].astype(np.int32)), pa.array(rank.astype(np.int32)), _long(s0[row]), _long(s1[row]),
                 ],
-                ["token", "node", "batch", "size", "rank", "sketch"],
+                ["token", "node", "batch", "size", "rank", "s0", "s1"],
             )
 
-    return sets.select("node", "batch", "codes").mapInArrow(make, "token int, node long, batch int, size int, rank int, sketch long")
+    return sets.select("node", "batch", "codes").mapInArrow(make, "token int, node long, batch int, size int, rank int, s0 long, s1 long")
 
 
 def probe(index: DataFrame, batch: DataFrame, threshold: float) -> DataFrame:
@@ -98,7 +98,7 @@ def probe(index: DataFrame, batch: DataFrame, threshold: float) -> DataFrame:
         & (col("_b", "batch") < col("_a", "batch"))
         & (least * (1 + threshold) + 1e-9 >= both * threshold)
         & (F.least(col("_a", "size"), col("_b", "size")) >= F.greatest(col("_a", "size"), col("_b", "size")) * threshold)
-        & _apart_codes(col("_a", "sketch"), col("_b", "sketch"))
+        & codes_near((col("_a", "s0"), col("_b", "s0")), (col("_a", "s1"), col("_b", "s1")))
     )
     return a.join(b, possible).select(
         col("_a", "node").alias("a"), col("_b", "node").alias("b"), col("_a", "batch").alias("batch_a"), col("_b", "batch").alias("batch_b")
@@ -145,7 +145,7 @@ class PrefixIndex:
         index = self.spark.read.parquet(f"{self.folder}/postings").drop("part")
         pairs = probe(index, postings(new, self.counts, self.threshold), self.threshold)
         known = self.spark.read.parquet(f"{self.folder}/sets").select("node", "codes")
-        links = _verified(pairs.select("a", "b").distinct(), known.union(new.select("node", "codes")), self.threshold)
+        links = verified(checkpointed(pairs.select("a", "b").distinct()), known.union(new.select("node", "codes")), self.threshold)
         found = links.join(pairs, ["a", "b"]).select(F.col("a").alias("_a"), F.col("b").alias("node"), "batch_b")
         return new.select("key", F.col("node").alias("_a")).join(found, "_a").select("key", "node", "batch_b").distinct(), new
 
@@ -177,7 +177,7 @@ def repeated_records(
     texts = sets.select("node", "batch", "codes")
     index = postings(texts, counts, threshold)
     pairs = checkpointed(probe(index, postings(texts.where("batch > 0"), counts, threshold), threshold))
-    links = checkpointed(_verified(pairs.select("a", "b").distinct(), texts.select("node", "codes"), threshold))
+    links = checkpointed(verified(checkpointed(pairs.select("a", "b").distinct()), texts.select("node", "codes"), threshold))
     links = pairs.join(links, ["a", "b"])
     named = sets.where("batch > 0").select("key", "batch", "node").distinct()
     # what a record agrees with: an accepted text (batch 0) or an earlier record

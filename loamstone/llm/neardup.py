@@ -6,8 +6,8 @@ allowed in a chunk: each chunk gives four keys, each with one symbol left out. B
 that differs in at most 19 symbols has a chunk with at most one error, so it shares a key: no such pair is missed, and
 pairs beyond are still found with the probability of two equal chunks (97.6 % at a similarity of 0.5, 99.8 % at 0.6).
 
-Rows of one key are compared on b-bit codes of the symbols (a 64-bit sketch that travels with the key, then all 40
-symbols), and what passes is checked exactly on the shingle sets. Members of a very common key are compared with the
+Rows of one key are compared on b-bit codes of the symbols (40 three-bit codes that travel with the key), and what passes
+is checked exactly on the shingle sets. Members of a very common key are compared with the
 first of its rows first; only members that are not yet in one component with each other are then compared, in blocks
 that are spread over tasks. So no key is capped, nothing is sampled, and a group of copies costs one row per batch.
 """
@@ -27,11 +27,13 @@ from loamstone.session import checkpointed, stored
 
 CHUNKS, SYMBOLS = 10, 4
 LENGTH = CHUNKS * SYMBOLS
-#: Greatest number of differing codes that a pair may show: of the 21 three-bit codes of the sketch, and of the 40
-#: four-bit codes of the signature. At a similarity of 0.5 the expected numbers are 9.2 +- 2.3 and 18.8 +- 3.2.
-SKETCH_CODES, SKETCH_MOST, CODES_MOST = 21, 16, 29
+#: Greatest number of the 40 three-bit codes in which a pair may differ. At a similarity of 0.5 17.5 +- 3.1 are expected
+#: (16.2 +- 3.0 where a key is shared), 32.4 +- 2.0 where a key is shared by chance.
+MOST = 26
 #: Rows of one key beyond which the two-step comparison is used, and rows in a block of it.
-COMMON, BLOCK = 128, 2048
+COMMON, BLOCK = 1024, 2048
+#: Nodes up to which their list is broadcast (16 bytes each in memory).
+BROADCAST_NODES = 200_000
 _SEEDS = mixed(np.arange(1, LENGTH + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 _ONES = np.uint64(0x1249249249249249)  # the lowest bit of each three-bit code
 
@@ -45,19 +47,12 @@ def signatures(codes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
-def _sketch(symbols: np.ndarray) -> np.ndarray:
-    out = np.zeros(len(symbols), np.uint64)
-    for k in range(SKETCH_CODES):
-        out |= (symbols[:, (k * 19) % LENGTH] & np.uint64(7)) << np.uint64(3 * k)
-    return out
-
-
-def _packed(symbols: np.ndarray) -> np.ndarray:
-    """40 four-bit codes as three 64-bit numbers of 14, 13 and 13 codes."""
-    out = np.zeros((len(symbols), 3), np.uint64)
+def sketches(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """40 three-bit codes as two 64-bit numbers."""
+    out = np.zeros((2, len(symbols)), np.uint64)
     for k in range(LENGTH):
-        out[:, k % 3] |= ((symbols[:, k] >> np.uint64(8)) & np.uint64(15)) << np.uint64(4 * (k // 3))
-    return out
+        out[k % 2] |= (symbols[:, k] & np.uint64(7)) << np.uint64(3 * (k // 2))
+    return out[0], out[1]
 
 
 def _keys(symbols: np.ndarray) -> np.ndarray:
@@ -71,17 +66,22 @@ def _keys(symbols: np.ndarray) -> np.ndarray:
     return out
 
 
-def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def _apart(a0: np.ndarray, a1: np.ndarray, b0: np.ndarray, b1: np.ndarray) -> np.ndarray:
     """Number of differing three-bit codes."""
-    x = a ^ b
-    return np.bitwise_count((x | (x >> np.uint64(1)) | (x >> np.uint64(2))) & _ONES)
+    x, y = a0 ^ b0, a1 ^ b1
+    x = (x | (x >> np.uint64(1)) | (x >> np.uint64(2))) & _ONES
+    y = (y | (y >> np.uint64(1)) | (y >> np.uint64(2))) & _ONES
+    return np.bitwise_count(x) + np.bitwise_count(y)
 
 
-def _apart_codes(a: Column, b: Column) -> Column:
-    """Whether two sketches differ in at most SKETCH_MOST codes."""
-    x = a.bitwiseXOR(b)
-    x = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseOR(F.shiftrightunsigned(x, 2))
-    return F.bit_count(x.bitwiseAND(F.lit(int(_ONES)))) <= SKETCH_MOST
+def codes_near(*pairs: tuple[Column, Column]) -> Column:
+    """Whether two sketches differ in at most MOST codes."""
+    differ = F.lit(0)
+    for a, b in pairs:
+        x = a.bitwiseXOR(b)
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseOR(F.shiftrightunsigned(x, 2))
+        differ = differ + F.bit_count(x.bitwiseAND(F.lit(int(_ONES))))
+    return differ <= MOST
 
 
 def _long(x: np.ndarray) -> pa.Array:
@@ -117,32 +117,17 @@ def _sets(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _key_rows(sets: DataFrame) -> DataFrame:
-    """(key, node, sketch): 40 rows per node."""
+    """(key, node, s0, s1): 40 rows per node."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 node, codes, offsets = _sets(batch)
                 symbols = signatures(codes, offsets)
-                yield pa.RecordBatch.from_arrays(
-                    [_long(_keys(symbols).ravel()), _long(np.repeat(node, LENGTH)), _long(np.repeat(_sketch(symbols), LENGTH))],
-                    ["key", "node", "sketch"],
-                )
-
-    return sets.select("node", "codes").mapInArrow(make, "key long, node long, sketch long")
+                spread = [_long(np.repeat(c, LENGTH)) for c in (node, *sketches(symbols))]
+                yield pa.RecordBatch.from_arrays([_long(_keys(symbols).ravel()), *spread], ["key", "node", "s0", "s1"])
 
-
-def _code_rows(sets: DataFrame) -> DataFrame:
-    """(node, c0, c1, c2): all codes of the signature."""
-
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                node, codes, offsets = _sets(batch)
-                packed = _packed(signatures(codes, offsets))
-                yield pa.RecordBatch.from_arrays([_long(node), *[_long(np.ascontiguousarray(packed[:, i])) for i in range(3)]], ["node", "c0", "c1", "c2"])
-
-    return sets.select("node", "codes").mapInArrow(make, "node long, c0 long, c1 long, c2 long")
+    return sets.select("node", "codes").mapInArrow(make, "key long, node long, s0 long, s1 long")
 
 
 def _runs(batches: Iterator[pa.RecordBatch], columns: int) -> Iterator[list[np.ndarray]]:
@@ -171,12 +156,13 @@ def _runs(batches: Iterator[pa.RecordBatch], columns: int) -> Iterator[list[np.n
 
 
 def _near_in_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted (key, node, sketch) to pairs of small keys, pairs with the first row of common keys, and the rows of
-    common keys as they are (kind 1)."""
-    for key, node, sketch in _runs(batches, 3):
+    """Sorted (key, node, s0, s1) to pairs of small keys, pairs with the first row of common keys (kind 0), and the rows
+    of common keys as they are (kind 1)."""
+    for key, node, s0, s1 in _runs(batches, 4):
         new = np.ones(len(key), bool)
         new[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
-        key, node, sketch = key[new], node[new], sketch[new].view(np.uint64)
+        key, node, s0, s1 = key[new], node[new], s0[new].view(np.uint64), s1[new].view(np.uint64)
+        near_rows = lambda i, j: _apart(s0[i], s1[i], s0[j], s1[j]) <= MOST  # noqa: B023, E731
         start = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
         size = np.diff(np.append(start, len(key)))
         begin, length = np.repeat(start, size), np.repeat(size, size)
@@ -185,82 +171,70 @@ def _near_in_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left, right = [], []
         place = np.arange(len(key)) - begin
         step = 1
-        while len(small):
-            small = small[place[small] + step < length[small]]
-            near = small[_apart(sketch[small], sketch[small + step]) <= SKETCH_MOST]
+        while len(small := small[place[small] + step < length[small]]):
+            near = small[near_rows(small, small + step)]
             left.append(near)
             right.append(near + step)
             step += 1
         star = np.flatnonzero(common & (place > 0))
-        near = star[_apart(sketch[star], sketch[begin[star]]) <= SKETCH_MOST]
-        left.append(begin[near])
-        right.append(near)
-        a, b = np.concatenate(left), np.concatenate(right)
+        near = star[near_rows(star, begin[star])]
+        a, b = np.concatenate([*left, begin[near]]), np.concatenate([*right, near])
         many = np.flatnonzero(common)
+        none = np.zeros(len(a), np.uint64)
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(np.repeat(np.array([0, 1], np.int8), [len(a), len(many)])),
                 pa.array(np.concatenate([np.minimum(node[a], node[b]), key[many]])),
                 pa.array(np.concatenate([np.maximum(node[a], node[b]), node[many]])),
-                _long(np.concatenate([np.zeros(len(a), np.uint64), sketch[many]])),
+                _long(np.concatenate([none, s0[many]])),
+                _long(np.concatenate([none, s1[many]])),
             ],
-            ["kind", "a", "b", "sketch"],
+            ["kind", "a", "b", "s0", "s1"],
         )
 
 
 def _near_across_roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (task, side, node, root, sketch) sorted by task and side, to the near pairs of different roots. A task
-    holds two blocks of one key (or one block, whose rows then have side 0 only)."""
+    """Rows (task, side, node, root, s0, s1) sorted by task and side, to the near pairs of different roots. A task holds
+    two blocks of one key (or one block, whose rows then have side 0 only)."""
     held: list[np.ndarray] | None = None
 
     def pairs(cols: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        task, side, node, root, sketch = cols
-        sketch = sketch.view(np.uint64)
+        task, side, node, root = cols[:4]
+        s0, s1 = cols[4].view(np.uint64), cols[5].view(np.uint64)
         starts = np.flatnonzero(np.concatenate(([True], task[1:] != task[:-1])))
         for lo, hi in zip(starts, np.append(starts[1:], len(task)), strict=True):
             split = lo + int(np.searchsorted(side[lo:hi], 1))
             one = split == hi
             for i in range(lo, split):
                 other = slice(i + 1, hi) if one else slice(split, hi)
-                near = (_apart(sketch[i], sketch[other]) <= SKETCH_MOST) & (root[other] != root[i])
+                near = (_apart(s0[i], s1[i], s0[other], s1[other]) <= MOST) & (root[other] != root[i])
                 if near.any():
                     b = node[other][near]
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(node[i], b)), pa.array(np.maximum(node[i], b))], ["a", "b"])
 
     for batch in batches:
-        now = [batch.column(i).to_numpy() for i in range(5)]
+        now = [batch.column(i).to_numpy() for i in range(6)]
         if held is not None:
             now = [np.concatenate([h, n]) for h, n in zip(held, now, strict=True)]
         if not len(now[0]):
             continue
         cut = int(np.searchsorted(now[0], now[0][-1]))
-        yield from pairs([c[:cut] for c in now]) if cut else ()
+        if cut:
+            yield from pairs([c[:cut] for c in now])
         held = [c[cut:] for c in now]
     if held is not None and len(held[0]):
         yield from pairs(held)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose sets have at least the similarity."""
-    codes = _code_rows(sets)
-    differ = F.lit(0)
-    for c in ("c0", "c1", "c2"):
-        x = F.col(f"_a.{c}").bitwiseXOR(F.col(f"_b.{c}"))
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
-        differ = differ + F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
-    one = codes.dropDuplicates(["node"])
-    a, b = one.alias("_a"), one.alias("_b")
-    near = pairs.join(a, F.col("a") == F.col("_a.node")).select("a", "b", F.struct("c0", "c1", "c2").alias("_a"))
-    near = near.join(b, F.col("b") == F.col("_b.node")).where(differ <= CODES_MOST).select("a", "b")
-    near = checkpointed(near)
-    nodes = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
-    # the few nodes that are left go to every executor while their number is small; beyond, both sides are shuffled
+def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (a, b) of nodes whose sets in (node, codes) have at least the similarity."""
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     nodes = checkpointed(nodes)
-    few = F.broadcast(nodes) if nodes.count() <= 500_000 else nodes
+    # the nodes in question go to every executor while their number is small; beyond, both sides are shuffled
+    few = F.broadcast(nodes) if nodes.count() <= BROADCAST_NODES else nodes
     held = sets.join(few, "node", "left_semi").groupBy("node").agg(F.first("codes").alias("codes"))
     size = F.size(F.array_intersect("_x", "_y"))
-    full = near.join(held.select(F.col("node").alias("a"), F.col("codes").alias("_x")), "a").join(
+    full = pairs.join(held.select(F.col("node").alias("a"), F.col("codes").alias("_x")), "a").join(
         held.select(F.col("node").alias("b"), F.col("codes").alias("_y")), "b"
     )
     return full.where(size >= threshold * (F.size("_x") + F.size("_y") - size)).select("a", "b")
@@ -280,14 +254,14 @@ def near_duplicate_groups(records: DataFrame, key: str, text, *, width: int = 3,
     sets = stored(shingled(records, key, text, width), "shingles")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     found = _key_rows(sets).repartition(parts, "key").sortWithinPartitions("key", "node")
-    found = stored(found.mapInArrow(_near_in_key, "kind byte, a long, b long, sketch long"), "near")
-    pairs = found.where("kind = 0").select("a", "b").distinct()
-    links = checkpointed(_verified(pairs, sets, threshold))
+    found = stored(found.mapInArrow(_near_in_key, "kind byte, a long, b long, s0 long, s1 long"), "near")
+    pairs = checkpointed(found.where("kind = 0").select("a", "b").distinct())
+    links = checkpointed(verified(pairs, sets, threshold))
     rooted = components(links)
-    common = found.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("node"), "sketch")
+    common = found.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("node"), "s0", "s1")
     if common.limit(1).count():
-        more = _common_pairs(common, rooted, parts)
-        links = checkpointed(links.union(_verified(more, sets, threshold)).distinct())
+        more = checkpointed(_common_pairs(common, rooted, parts))
+        links = checkpointed(links.union(verified(more, sets, threshold)).distinct())
         rooted = components(links)
     ends = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count("*").alias("_links"))
     nodes = rooted.join(ends, "node", "left")
@@ -299,17 +273,17 @@ def near_duplicate_groups(records: DataFrame, key: str, text, *, width: int = 3,
 
 def _common_pairs(common: DataFrame, rooted: DataFrame, parts: int) -> DataFrame:
     """Near pairs of common keys whose ends are in different components."""
-    rows = common.distinct().join(rooted, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"), "sketch")
+    rows = common.distinct().join(rooted, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"), "s0", "s1")
     # keys all of whose rows are in one component are done
     mixed_keys = rows.groupBy("key").agg(F.count("*").alias("_n"), F.min("root").alias("_lo"), F.max("root").alias("_hi")).where("_lo < _hi")
     rows = rows.join(mixed_keys.select("key", "_n"), "key")
     blocks = F.ceil(F.col("_n") / BLOCK).cast("int")
     rows = rows.withColumn("_blocks", blocks).withColumn("_block", F.pmod(F.hash("node"), F.col("_blocks")))
     other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
-    rows = rows.select("key", "node", "root", "sketch", "_block", other.alias("_other"))
+    rows = rows.select("key", "node", "root", "s0", "s1", "_block", other.alias("_other"))
     task = F.xxhash64("key", F.least("_block", "_other"), F.greatest("_block", "_other"))
     side = F.when(F.col("_block") > F.col("_other"), 1).otherwise(0)
-    spread = rows.select(task.alias("task"), side.alias("side"), "node", "root", "sketch")
+    spread = rows.select(task.alias("task"), side.alias("side"), "node", "root", "s0", "s1")
     spread = spread.repartition(parts, "task").sortWithinPartitions("task", "side")
     return spread.mapInArrow(_near_across_roots, "a long, b long").distinct()
 
