@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loamstone.functions.domains import plain_domain
-from loamstone.llm import cutoffs, incremental, neardup, splitting, tokenizer
+from loamstone.llm import cutoffs, incremental, neardup, spam, splitting, tokenizer
 from loamstone.sources.tables import table
 
 #: The folder of the public tokenizers' files on every machine.
@@ -62,7 +62,16 @@ def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
     return tokenizer.encode_corpus(table(spark, folder, "documents").select("doc_id", "text"), "text", BYTE_BPE)
 
 
-QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p6_groups": p6_groups, "p7_ids": p7_ids}
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    return spam.stuffed_pages(table(spark, folder, "documents"), "doc_id", "text").select("doc_id")
+
+
+def p9_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """The same pages with their language and the words that made them spam."""
+    return spam.stuffed_pages(table(spark, folder, "documents"), "doc_id", "text")
+
+
+QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p6_groups": p6_groups, "p7_ids": p7_ids, "p9_found": p9_found, "p9_pages": p9_pages}
 
 SQL = {
     "p4_found": r"""
