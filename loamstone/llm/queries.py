@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loamstone.functions.domains import plain_domain
-from loamstone.llm import cutoffs, incremental, neardup, spam, splitting, tokenizer
+from loamstone.llm import boilerplate, cutoffs, incremental, neardup, spam, splitting, tokenizer
 from loamstone.sources.tables import table
 
 #: The folder of the public tokenizers' files on every machine.
@@ -23,6 +23,15 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     return incremental.repeated_records(accepted, table(spark, folder, "incoming_record"), digests)
 
 
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    return boilerplate.boilerplate_lines(table(spark, folder, "raw"), "raw_id", "content").select("raw_id", "line_no")
+
+
+def p2_text(spark: SparkSession, folder: str) -> DataFrame:
+    """The main text of every page."""
+    return boilerplate.main_text(table(spark, folder, "raw"), "raw_id", "content")
+
+
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return splitting.split_oversized(table(spark, folder, "raw"), "raw_id", "content")
 
@@ -71,7 +80,7 @@ def p9_pages(spark: SparkSession, folder: str) -> DataFrame:
     return spam.stuffed_pages(table(spark, folder, "documents"), "doc_id", "text")
 
 
-QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p6_groups": p6_groups, "p7_ids": p7_ids, "p9_found": p9_found, "p9_pages": p9_pages}
+QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p2_text": p2_text, "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p6_groups": p6_groups, "p7_ids": p7_ids, "p9_found": p9_found, "p9_pages": p9_pages}
 
 SQL = {
     "p4_found": r"""
