@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loamstone.functions.domains import plain_domain
-from loamstone.llm import boilerplate, cutoffs, incremental, neardup, spam, splitting, tokenizer
+from loamstone.llm import boilerplate, cutoffs, incremental, mixing, neardup, spam, splitting, tokenizer
+from loamstone.session import stored
 from loamstone.sources.tables import table
 
 #: The folder of the public tokenizers' files on every machine.
@@ -71,6 +72,33 @@ def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
     return tokenizer.encode_corpus(table(spark, folder, "documents").select("doc_id", "text"), "text", BYTE_BPE)
 
 
+def _sized(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The wanted documents with their sizes, computed once, and the targets."""
+    targets = table(spark, folder, "mix_targets").withColumn("source", plain_domain(F.col("source")))
+    documents = table(spark, folder, "documents").select("doc_id", plain_domain(F.col("source")).alias("source"), "text")
+    wanted = documents.join(targets.select("source"), "source", "left_semi").where(F.length("text") > 0)
+    return stored(tokenizer.token_counts(wanted, "text", BYTE_BPE), "sizes"), targets
+
+
+def p8_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """The largest mix at the target weights: how often each document occurs."""
+    return mixing.mix(*_sized(spark, folder))[0]
+
+
+def p8_shares(spark: SparkSession, folder: str) -> DataFrame:
+    """The target and actual shares of that mix."""
+    copies, sources, _ = mixing.mix(*_sized(spark, folder))
+    return mixing.shares(copies, sources)
+
+
+def p8_tempered_shares(spark: SparkSession, folder: str) -> DataFrame:
+    """The shares of a mix as large as all wanted documents together, tempered as far as the caps on repeats ask."""
+    sized, targets = _sized(spark, folder)
+    whole = sized.agg(F.sum("tokens")).first()[0] or 0
+    copies, sources, _ = mixing.mix(sized, targets, budget=float(whole))
+    return mixing.shares(copies, sources)
+
+
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return spam.stuffed_pages(table(spark, folder, "documents"), "doc_id", "text").select("doc_id")
 
@@ -80,7 +108,7 @@ def p9_pages(spark: SparkSession, folder: str) -> DataFrame:
     return spam.stuffed_pages(table(spark, folder, "documents"), "doc_id", "text")
 
 
-QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p2_text": p2_text, "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p6_groups": p6_groups, "p7_ids": p7_ids, "p9_found": p9_found, "p9_pages": p9_pages}
+QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p2_text": p2_text, "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p6_groups": p6_groups, "p7_ids": p7_ids, "p8_mix": p8_mix, "p8_shares": p8_shares, "p8_tempered_shares": p8_tempered_shares, "p9_found": p9_found, "p9_pages": p9_pages}
 
 SQL = {
     "p4_found": r"""
