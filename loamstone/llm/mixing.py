@@ -135,7 +135,7 @@ def mix(
     marks = checkpointed(sums.where("_before < _r").select("_source", "_block", "_before", (F.col("_before") + F.col("_sum") <= F.col("_r")).alias("_whole")))
     last = marks.where("NOT _whole").select("_source", "_block", "_before")
     edge = placed.join(last, ["_source", "_block"]).select("_key", "_source", "_tokens", "_rounds", "_order", (F.col("_rest") - F.col("_before")).alias("_left"))
-    schema = edge.select("_key", "_source", "_tokens", "_rounds").schema.add("_extra", "int")
+    schema = edge.select("_key", "_source", "_tokens", "_rounds").schema.add("_extra", "integer")
     edge = edge.groupBy("_source").applyInPandas(_filled, schema)
     whole = marks.where("_whole").groupBy("_source").agg(F.max("_block").alias("_to"))
     cut = last.select("_source", F.col("_block").alias("_at"))
