@@ -112,12 +112,12 @@ def clean_tokens(text: Column, stopwords: Sequence[str] = (), least: int = 2) ->
 
 def ngrams(words: Column, low: int = 1, high: int = 3) -> Column:
     """The distinct n-grams of low to high words, joined by a space."""
-    parts = []
-    for n in range(low, high + 1):
+    def of(n: int) -> Column:
         last = F.size(words) - n
         starts = F.when(last >= 0, F.sequence(F.lit(1), last + 1)).otherwise(F.array().cast("array<int>"))
-        parts.append(F.transform(starts, lambda i, n=n: F.array_join(F.slice(words, i, F.lit(n)), " ")))
-    return F.array_distinct(F.flatten(F.array(*parts)))
+        return F.transform(starts, lambda i: F.array_join(F.slice(words, i, F.lit(n)), " "))
+
+    return F.array_distinct(F.flatten(F.array(*[of(n) for n in range(low, high + 1)])))
 
 
 def links(text: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from loamstone.plans import records
+from loamstone.plans import archive, eventlog, records, warehouse
 
-QUERIES = {**records.QUERIES}
-SQL: dict[str, str] = {}
+QUERIES = {**records.QUERIES, **archive.QUERIES, **eventlog.QUERIES, **warehouse.QUERIES}
+SQL: dict[str, str] = {**archive.SQL, **eventlog.SQL, **warehouse.SQL}
