@@ -364,7 +364,12 @@ class PageModel:
 def train_model(pages: DataFrame, content: str, *, train_pages: int = 1000) -> PageModel:
     """A model from at most train_pages contents: those with the least hash of their text, the same on every run."""
     text = F.col(f"`{content}`")
-    sample = pages.select(text.alias("c")).where(F.length("c") > 0).orderBy(F.xxhash64("c"), "c").limit(train_pages)
+    hashed = pages.select(text.alias("c"), F.xxhash64(text).alias("h")).where(F.length("c") > 0)
+    # first the hashes alone decide, so that no more than the sample's texts ever reach the driver
+    least = hashed.select("h").distinct().orderBy("h").limit(train_pages).agg(F.max("h")).first()[0]
+    if least is None:
+        return PageModel.train([])
+    sample = hashed.where(F.col("h") <= least).dropDuplicates(["h"]).orderBy("h").limit(train_pages)
     return PageModel.train([r.c for r in sample.collect()])
 
 
