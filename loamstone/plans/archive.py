@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loamstone.functions import hashing, text
@@ -29,7 +29,11 @@ WATCHLISTS = [
     ("housing", ["housing", "mortgage", "rental", "house"], [], ["auction"]),
     ("fiscal", ["fiscal", "tax", "deficit", "treasury"], ["tax"], []),
 ]
-_DOMAIN = plain_domain(F.col("source.domain"))
+
+
+def _domain() -> Column:
+    return plain_domain(F.col("source.domain"))
+
 
 
 def _records(spark: SparkSession, folder: str) -> DataFrame:
@@ -40,7 +44,7 @@ def _records(spark: SparkSession, folder: str) -> DataFrame:
 def source_stats(spark: SparkSession, folder: str) -> DataFrame:
     """Counts by status, exact shares in basis points, score sums and the last spelling of created_at by source."""
     rows = _records(spark, folder).select(
-        F.coalesce(_DOMAIN, F.lit("unknown")).alias("domain"), "status", "created_at", F.col("llm_review.verification_confidence").alias("score")
+        F.coalesce(_domain(), F.lit("unknown")).alias("domain"), "status", "created_at", F.col("llm_review.verification_confidence").alias("score")
     )
     count = lambda s: F.count_if(F.col("status") == s)
     score = F.when(F.col("score").between(0, 100) & F.col("status").isin("accepted", "review_queue"), F.col("score"))
@@ -53,7 +57,7 @@ def source_stats(spark: SparkSession, folder: str) -> DataFrame:
 
 def source_names(spark: SparkSession, folder: str) -> DataFrame:
     """The most frequent name of each source; of several the one of the least record id."""
-    rows = _records(spark, folder).select(_DOMAIN.alias("domain"), F.col("source.name").alias("name"), "id").where("domain IS NOT NULL")
+    rows = _records(spark, folder).select(_domain().alias("domain"), F.col("source.name").alias("name"), "id").where("domain IS NOT NULL")
     counted = rows.where("name IS NOT NULL AND name <> ''").groupBy("domain", "name").agg(F.count("*").alias("n"), F.min("id").alias("p"))
     return counted.groupBy("domain").agg(F.min_by("name", F.struct(-F.col("n"), F.col("p"))).alias("name"))
 
@@ -76,7 +80,7 @@ def source_bands(spark: SparkSession, folder: str) -> DataFrame:
 def source_health(spark: SparkSession, folder: str) -> DataFrame:
     """Full outer join of raw texts and records by source."""
     raw = table(spark, folder, "raw").groupBy(plain_domain(F.col("source_domain")).alias("domain")).agg(F.count("*").alias("texts"))
-    rows = _records(spark, folder).groupBy(_DOMAIN.alias("domain")).agg(F.count("*").alias("records"))
+    rows = _records(spark, folder).groupBy(_domain().alias("domain")).agg(F.count("*").alias("records"))
     joined = raw.where("domain IS NOT NULL").join(rows.where("domain IS NOT NULL"), "domain", "full_outer")
     return joined.select("domain", F.coalesce("texts", F.lit(0)).alias("texts"), F.coalesce("records", F.lit(0)).alias("records"))
 
@@ -115,7 +119,7 @@ def url_hashes(spark: SparkSession, folder: str) -> DataFrame:
 
 def record_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     rows = _records(spark, folder)
-    title, domain = F.col("title"), _DOMAIN
+    title, domain = F.col("title"), _domain()
     return rows.select(
         "id", hashing.title_hash(title).alias("title_hash"), hashing.title_fingerprint(title).alias("title_fingerprint"),
         hashing.content_hash(F.col("summary")).alias("content_hash"), hashing.event_fingerprint(domain, F.lit("2024-01-05T"), F.col("event_type")).alias("event_fingerprint"),
@@ -213,7 +217,7 @@ def watchlist_hits(spark: SparkSession, folder: str) -> DataFrame:
 
 def similar_tags(spark: SparkSession, folder: str) -> DataFrame:
     """Pairs of sources by the Jaccard similarity of their tag sets in percent, at least 90."""
-    rows = _records(spark, folder).select(_DOMAIN.alias("domain"), F.explode("tags").alias("tag")).where("domain IS NOT NULL")
+    rows = _records(spark, folder).select(_domain().alias("domain"), F.explode("tags").alias("tag")).where("domain IS NOT NULL")
     sets = rows.groupBy("domain").agg(F.array_sort(F.collect_set("tag")).alias("tags"))
     other = sets.select(F.col("domain").alias("other"), F.col("tags").alias("other_tags"))
     pairs = sets.join(other, F.col("domain") < F.col("other"))  # one row per source on either side
@@ -223,14 +227,14 @@ def similar_tags(spark: SparkSession, folder: str) -> DataFrame:
 
 def leader_clusters(spark: SparkSession, folder: str) -> DataFrame:
     """Records of one source and week grouped around leaders of similar title words, in order of id."""
-    rows = _records(spark, folder).select("id", _DOMAIN.alias("domain"), day_of(F.substring("created_at", 1, 10)).alias("day"), text.clean_tokens(F.col("title"), STOPWORDS).alias("terms"))
+    rows = _records(spark, folder).select("id", _domain().alias("domain"), day_of(F.substring("created_at", 1, 10)).alias("day"), text.clean_tokens(F.col("title"), STOPWORDS).alias("terms"))
     rows = rows.where("domain IS NOT NULL AND day IS NOT NULL").withColumn("week", week_start(F.col("day")))
     return dedupe.leader_groups(rows, "id", ["domain", "week"], "id", "terms", 0.5)
 
 
 def weekly_digest(spark: SparkSession, folder: str) -> DataFrame:
     """Accepted records by ISO week with plain ISO days: number, sources and the most frequent topic."""
-    rows = _records(spark, folder).where("status = 'accepted'").select("id", _DOMAIN.alias("domain"), "topic", day_of(F.substring("created_at", 1, 10)).alias("day"))
+    rows = _records(spark, folder).where("status = 'accepted'").select("id", _domain().alias("domain"), "topic", day_of(F.substring("created_at", 1, 10)).alias("day"))
     rows = rows.where("day IS NOT NULL").withColumn("week", week_start(F.col("day")))
     topics = rows.groupBy("week", "topic").agg(F.count("*").alias("n"))
     lead = topics.groupBy("week").agg(F.min_by("topic", F.struct(-F.col("n"), F.col("topic"))).alias("lead_topic"))
@@ -373,8 +377,9 @@ SELECT watchlist, id, matched, coalesce(blocked, 0) AS blocked FROM m JOIN d USI
 WITH {_ONE}, t AS (SELECT DISTINCT {_D} AS domain, unnest(tags) AS tag FROM one), s AS (SELECT domain, list(tag) AS tags FROM t WHERE domain IS NOT NULL AND tag IS NOT NULL GROUP BY 1)
 SELECT * FROM (SELECT a.domain, b.domain AS other, CAST(len(list_intersect(a.tags, b.tags)) * 100 // len(list_distinct(a.tags || b.tags)) AS INT) AS percent FROM s a JOIN s b ON a.domain < b.domain) WHERE percent >= 90""",
     "weekly_digest": rf"""
-WITH {_ONE}, r AS (SELECT {_D} AS domain, topic, try_cast(regexp_extract(created_at[:10], '^\d{{4}}-\d{{2}}-\d{{2}}') AS DATE) AS day FROM one WHERE status = 'accepted'),
-w AS (SELECT *, CAST(date_trunc('week', day) AS DATE) AS week FROM r WHERE day IS NOT NULL), t AS (SELECT week, topic, count(*) AS n FROM w GROUP BY 1, 2),
+WITH {_ONE}, r AS (SELECT {_D} AS domain, topic, trim(created_at[:10]) AS c FROM one WHERE status = 'accepted'), y AS (SELECT domain, topic,
+    coalesce(try_cast(regexp_replace(regexp_extract(c, '^\d{{4}}[-/_]\d{{2}}[-/_]\d{{2}}'), '[/_]', '-', 'g') AS DATE), CAST(try_strptime(regexp_extract(c, '^(\d{{1,2}}/\d{{1,2}}/\d{{4}})', 1), '%m/%d/%Y') AS DATE)) AS day FROM r),
+w AS (SELECT *, CAST(date_trunc('week', day) AS DATE) AS week FROM y WHERE day IS NOT NULL), t AS (SELECT week, topic, count(*) AS n FROM w GROUP BY 1, 2),
 l AS (SELECT week, topic AS lead_topic FROM t QUALIFY row_number() OVER (PARTITION BY week ORDER BY n DESC, topic NULLS FIRST) = 1)
 SELECT week, count(*) AS records, count(DISTINCT domain) AS sources, any_value(lead_topic) AS lead_topic FROM w JOIN l USING (week) GROUP BY 1""",
     "latest_by_topic": f"""

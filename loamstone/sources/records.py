@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 #: The nested record; every read names it, nothing is inferred.
-RECORD = T.StructType.fromDDL(
+RECORD = (
     "id STRING, created_at STRING, status STRING, topic STRING, event_type STRING, title STRING, "
     "source STRUCT<name: STRING, url: STRING, domain: STRING, published_at: STRING, source_type: STRING>, summary STRING, key_points ARRAY<STRING>, "
     "why_it_matters STRING, market_impact STRUCT<asset_classes: ARRAY<STRING>, directional_bias: STRING, confidence: DOUBLE>, important_numbers ARRAY<STRING>, "
@@ -21,16 +21,17 @@ RECORD = T.StructType.fromDDL(
 )
 
 
-def json_records(spark: SparkSession, path: str, schema: T.StructType = RECORD, whole_files: bool = True) -> DataFrame:
-    """Records of a folder, one per file or one per line; files and lines that are no JSON objects are left out."""
-    shape = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
-    reader = spark.read.schema(shape).option("multiLine", whole_files).option("mode", "PERMISSIVE").option("recursiveFileLookup", True)
-    return reader.json(path).where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
+def json_records(spark: SparkSession, path: str, schema: str = RECORD, whole_files: bool = True) -> DataFrame:
+    """Records of a folder, one per file or one per line, in a schema given as DDL; files and lines that are no JSON
+    objects are left out."""
+    reader = spark.read.schema(f"{schema}, _corrupt_record STRING").option("multiLine", whole_files).option("mode", "PERMISSIVE")
+    rows = reader.option("recursiveFileLookup", True).json(path)
+    return rows.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
 
 
 def raw_texts(spark: SparkSession, path: str, glob: str = "*.txt") -> DataFrame:
     """(record_id, content) of the text files of a folder; the id is the file's name without its ending."""
-    files = spark.read.option("wholetext", True).option("pathGlobFilter", glob).text(path)
+    files = spark.read.option("pathGlobFilter", glob).text(path, wholetext=True)
     name = F.regexp_extract(F.input_file_name(), r"([^/]+?)(?:\.[^./]*)?$", 1)
     return files.select(F.url_decode(name).alias("record_id"), F.col("value").alias("content"))
 
