@@ -76,9 +76,10 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[\p{L}\p{N}_]+"))
 
 
-def terms_found(text: Column, terms: Sequence[str]) -> Column:
-    """How many different terms occur in the text, in any letter case and inside words too."""
-    low = F.lower(F.coalesce(text, F.lit("")))
+def terms_found(text: Column, terms: Sequence[str], lowered: bool = False) -> Column:
+    """How many different terms occur in the text, in any letter case and inside words too; `lowered` texts are in lower
+    case already."""
+    low = text if lowered else F.lower(F.coalesce(text, F.lit("")))
     total = F.lit(0)
     for term in dict.fromkeys(t.lower() for t in terms):
         total = total + F.contains(low, F.lit(term)).cast("int")

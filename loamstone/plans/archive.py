@@ -153,9 +153,11 @@ def raw_bodies(spark: SparkSession, folder: str) -> DataFrame:
 
 def text_filter(spark: SparkSession, folder: str) -> DataFrame:
     """The reasons against each raw text: too short, too few words, no subject, too much furniture."""
-    rows = table(spark, folder, "raw").where("content IS NOT NULL").select("raw_id", F.col("content").alias("t"))
-    subject = text.terms_found(F.col("t"), ["inflation", "yield", "auction", "credit", "liquidity", "policy", "reserve", "settlement"])
-    noise = text.terms_found(F.col("t"), ["cookie", "all rights reserved", "terms of use", "newsletter", "back to top", "powered by"])
+    rows = table(spark, folder, "raw").where("content IS NOT NULL")
+    # a generator of one row holds the lower-cased text, which is used once per term
+    rows = rows.select("raw_id", F.inline(F.array(F.struct(F.col("content").alias("t"), F.lower("content").alias("low")))))
+    subject = text.terms_found(F.col("low"), ["inflation", "yield", "auction", "credit", "liquidity", "policy", "reserve", "settlement"], True)
+    noise = text.terms_found(F.col("low"), ["cookie", "all rights reserved", "terms of use", "newsletter", "back to top", "powered by"], True)
     reasons = F.array_compact(F.array(
         F.when(F.length("t") < 500, "short"), F.when(text.word_count(F.col("t")) < 120, "few_words"), F.when(subject < 2, "no_subject"), F.when(noise >= 3, "noisy"),
     ))

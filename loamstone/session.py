@@ -81,3 +81,17 @@ def dispose(df: DataFrame) -> None:
         if root.split(":", 1)[-1].lstrip("/") in file:
             folder = spark._jvm.org.apache.hadoop.fs.Path(file.rsplit("/", 1)[0])
             folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df over as many partitions as there are cores, if its scan gives fewer.
+
+    For work in Python that takes long per row: a small file is one partition, whatever the number of cores. A scan with
+    at least as many partitions as cores is left alone, so large data are never shuffled for this, and frames that
+    already hold an exchange are left to adaptive execution.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    execution = df._jdf.queryExecution()
+    if "Exchange" in execution.executedPlan().toString() or execution.toRdd().getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
