@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loamstone.session import spread
+
 #: Phrases of page furniture, in English, German, French and Spanish.
 FURNITURE = [
     "cookie", "trackers", "small text files", "small files on your device", "analytics identifiers", "privacy matters", "process device information",
@@ -385,7 +387,7 @@ def boilerplate_lines(
     """
     model = model or train_model(pages, content, train_pages=train_pages)
     shared = pages.sparkSession.sparkContext.broadcast(model)
-    frame = pages.select(F.col(f"`{key}`").alias("key"), F.col(f"`{content}`").alias("_c")).where(F.length("_c") > 0)
+    frame = spread(pages.select(F.col(f"`{key}`").alias("key"), F.col(f"`{content}`").alias("_c")).where(F.length("_c") > 0))
     kind = frame.schema["key"].dataType.simpleString()
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -416,7 +418,7 @@ def main_text(pages: DataFrame, key: str, content: str, **options) -> DataFrame:
 def boilerplate_free(pages: DataFrame, key: str, content: str, model: PageModel) -> DataFrame:
     """(key, text) of each row: the article's lines, joined by line feeds; null where the content is null."""
     shared = pages.sparkSession.sparkContext.broadcast(model)
-    frame = pages.select(F.col(f"`{key}`").alias("key"), F.col(f"`{content}`").alias("_c"))
+    frame = spread(pages.select(F.col(f"`{key}`").alias("key"), F.col(f"`{content}`").alias("_c")))
     kind = frame.schema["key"].dataType.simpleString()
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -21,9 +21,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loamstone.llm.components import components
 from loamstone.llm.shingles import list_of, mixed, shingle_sets, word_lists, words_of
-from loamstone.session import checkpointed, stored
+from loamstone.operators.graph import components
+from loamstone.session import checkpointed, spread, stored
 
 CHUNKS, SYMBOLS = 10, 4
 LENGTH = CHUNKS * SYMBOLS
@@ -91,7 +91,8 @@ def _long(x: np.ndarray) -> pa.Array:
 def shingled(records: DataFrame, key: str, text, width: int) -> DataFrame:
     """(key, node, codes): the set of each text as sorted 32-bit codes, and a hash of the set as its node. Texts with
     fewer words than `width` are left out."""
-    frame = records.select(F.col(f"`{key}`").alias("key"), words_of(text).alias("_words")).where(F.size("_words") >= width)
+    frame = spread(records.select(F.col(f"`{key}`").alias("key"), text.alias("_text"))).select("key", words_of(F.col("_text")).alias("_words"))
+    frame = frame.where(F.size("_words") >= width)
     kind = frame.schema["key"].dataType.simpleString()
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

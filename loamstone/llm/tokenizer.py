@@ -19,6 +19,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loamstone.session import spread
+
 #: Fixed value: the split pattern of the public byte-level tokenizers.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -183,7 +185,7 @@ def encode_corpus(documents: DataFrame, text: str, path: str, *, ids: str = "ids
     whole. There is no shuffle.
     """
     kept = [c for c in documents.columns if c not in (text, ids)]
-    frame = documents.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").cast("string").alias("_text"))
+    frame = spread(documents.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").cast("string").alias("_text")))
     schema = documents.select(*[F.col(f"`{c}`") for c in kept]).withColumn(ids, F.array(F.lit(0))).schema
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
