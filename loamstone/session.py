@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
 import tempfile
 import uuid
@@ -58,29 +60,38 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: Folders written by stored() in this process.
+_FOLDERS: list[str] = []
+
+
 def stored(df: DataFrame, name: str = "t", partition_by: list[str] | None = None) -> DataFrame:
     """df written as a compressed columnar table in the shared folder and read again.
 
     Preferred over checkpointed() for wide or large data: it is columnar, so later reads take only the columns they
-    need.
+    need. The files go when the process ends, or with clean_up().
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     writer = df.write.option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    _FOLDERS.append(path)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def dispose(df: DataFrame) -> None:
-    """Removes the files of a table written by stored()."""
-    spark = df.sparkSession
-    root = shared_dir(spark)
-    for file in df.inputFiles()[:1]:
-        if root.split(":", 1)[-1].lstrip("/") in file:
-            folder = spark._jvm.org.apache.hadoop.fs.Path(file.rsplit("/", 1)[0])
-            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+def clean_up(spark: SparkSession | None = None) -> None:
+    """Removes the tables that stored() wrote in this process; frames that read them cannot be used any more."""
+    spark = spark or SparkSession.getActiveSession()
+    while _FOLDERS and spark is not None:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(_FOLDERS.pop())
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@atexit.register
+def _at_exit() -> None:
+    with contextlib.suppress(Exception):  # the JVM may be gone already
+        clean_up()
 
 
 def spread(df: DataFrame) -> DataFrame:
