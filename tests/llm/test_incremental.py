@@ -1,6 +1,7 @@
 """Repeated records against a plain walk, and the index that only grows."""
 
 import random
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -69,7 +70,7 @@ def test_index_grows(spark):
     rng = random.Random(9)
     texts = [" ".join(rng.choice(WORDS) for _ in range(50)) for _ in range(30)]
     history = spark.createDataFrame([(f"h{i}", t) for i, t in enumerate(texts)], "id string, t string")
-    index = incremental.open_index(spark, f"index-{rng.random()}", parts=4)
+    index = incremental.open_index(spark, f"index-{uuid.uuid4().hex}", parts=4)
     index.start(history, "id", F.col("t"))
     first = [("a", texts[3] + " extra"), ("b", " ".join(rng.choice(WORDS) for _ in range(50)))]
     found, sets = index.similar(spark.createDataFrame(first, "id string, t string"), "id", F.col("t"), 1)
