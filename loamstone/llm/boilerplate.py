@@ -29,17 +29,19 @@ from loamstone.session import spread
 FURNITURE = [
     "cookie", "trackers", "small text files", "small files on your device", "analytics identifiers", "privacy matters", "process device information",
     "traceurs", "dépôt de fichiers", "speicherung für", "almacenamiento durante", "accept all", "ok to all", "reject optional", "essential only", "allow all", "manage settings",
-    "alle akzeptieren", "tout accepter", "tout refuser", "aceptar todo", "rechazar", "skip to main content", "skip to content", "back to top", "return to start", "nach oben", "haut de page", "haut de document", "haut de l'article",
+    "alle akzeptieren", "tout accepter", "tout refuser", "aceptar todo", "rechazar", "skip to main content", "skip to content", "back to top", "return to start", "nach oben", "haut de ",
     "volver arriba", "terms of use", "privacy terms", "modern slavery", "impressum", "datenschutz", "mentions légales", "données personnelles", "aviso legal", "privacidad",
     "all rights reserved", "alle rechte vorbehalten", "tous droits réservés", "todos los derechos", "copyright", "©", "powered by", "site by", "registered office", "company number",
     "call centre", "calls may be recorded", "ohne gewähr", "accepts no liability", "do not constitute advice", "haftet nicht", "décline toute responsabilité", "no se hace responsable",
     "select language", "sprache wählen", "choisir la langue", "you are here", "sie sind hier", "vous êtes ici", "está aquí", "read more", "follow us", "stay in touch", "newsletter", "weekly letter", "monthly digest", "morning note",
     "never miss", "enter your address", "our briefing", "abonnieren", "abonnez-vous", "suscríbase", "get alerts", "sign up for", "log in or", "free articles left", "views left", "reads left",
-    "download our app", "rate this", "was this", "diese seite hilfreich", "page vous a", "vous a-t-elle été utile", "le ha sido útil", "leave a reply", "comments are closed", "will not be published",
+    "download our app", "rate this", "was this", "diese seite hilfreich", "hilfreich? ja nein", "page vous a", "vous a-t-elle été utile", "le ha sido útil", "leave a reply", "comments are closed", "will not be published",
     "reading time", "est. read", "text size", "lesezeit", "temps de lecture", "tiempo de lectura", "share this", "share on", "send this", "forward on", "forward this", "pass on", "copy link", "seite teilen", "partager", "compartir", "imprimir", "drucken merken",
-    "advert", "promoted content", "sponsored", "continue reading below", "anzeige", "werbung", "publicité", "publicidad", "patrocinado", "session will time out", "javascript is", "report a problem", "previous next", "next page", "next article", "next entry", "next document »",
+    "advert", "promoted content", "sponsored", "continue reading below", "anzeige", "werbung", "publicité", "publicidad", "patrocinado", "session will time out", "javascript is", "report a problem", "previous next", "next page", "next article", "next entry", "next document", "página siguiente", "nächste seite", "page suivante",
     "put your name down", "join in for", "register for the", "professionals who start", "you permit the storing", "you consent to the storing", "you agree to the storing",
 ]
+#: Whole lines of page furniture.
+LINES = {"top", "share", "print", "ad", "teilen", "drucken", "oben", "haut", "arriba"}
 #: Phrases of articles that would otherwise read like furniture.
 ARTICLE = ["record consent to cookies"]
 #: First words of search boxes.
@@ -54,7 +56,7 @@ MENU = {
     w for w in """home|about us|about|contact|help|faq|search|news|newsroom|press room|press|media gallery|multimedia|videos|podcasts|blog|events|calendar|careers|procurement|publications|research|working papers|statistics|data portal|markets|banknotes|payments|supervision|regulation|legal framework|speeches|archive|glossary|education|annual report|investor relations|topics|site map|sitemap|subscribe|register|log in|login|my account|privacy|terms|cookies|accessibility
 startseite|über uns|kontakt|hilfe|suche|presse|veröffentlichungen|forschung|statistik|märkte|bargeld|zahlungsverkehr|aufsicht|reden|termine|archiv|glossar|bildung|karriere|impressum|mediathek|themen
 accueil|qui sommes-nous|nous contacter|presse|publications|recherche|statistiques|marchés|paiements|supervision|discours|agenda|carrières|plan du site
-inicio|quiénes somos|contacto|prensa|publicaciones|estudios|estadísticas|mercados|pagos|supervisión|discursos|agenda|empleo""".replace("\n", "|").split("|")
+inicio|quiénes somos|contacto|prensa|publicaciones|estudios|estadísticas|mercados|pagos|supervisión|discursos|agenda|empleo|mapa web|mapa del sitio""".replace("\n", "|").split("|")
 }
 #: Words that also head sections of articles, and do not make a menu alone.
 _PLAIN = {"data", "statistics", "research", "publications", "topics", "regulation", "supervision", "markets", "payments"}
@@ -66,6 +68,7 @@ _STOPS = re.compile(r"[^\W\d_]{2}[.!?][\"”»]?\s+[\"“«]?[A-ZÀ-Þ]|[%\d][.!
 _TRAIL = re.compile(r"[^\w.!?。\"”»)\]:;,*%|-]+$")
 _DIGIT = re.compile(r"\d")
 _DIGITS = re.compile(r"\d+")
+_COUNTER = re.compile(r"^\d+ (?:shares?|comments?|likes?|views?|reads?|replies|reactions?|kommentare?|mal geteilt|partages?|commentaires?|vues?|comentarios?|vistas|veces compartido)$")
 _NUMBERED = re.compile(r"^\d{1,2}[.)]\s")
 _SPLIT = re.compile(r"\s+[|·/>•–]\s+|\s{2,}|\s*[|•]\s*")
 
@@ -184,7 +187,7 @@ def known_kind(low: str, kind: str) -> str:
     """The shape for the tree: lines with a well-known phrase and teaser headings are shapes of their own."""
     if low in TEASERS:
         return "teaser"
-    if kind not in ("item", "numbered", "more") and phrases(low) >= (1 if len(low) < 260 else 2) or low.startswith(SEARCH):
+    if kind not in ("item", "numbered", "more") and phrases(low) >= (1 if len(low) < 260 else 2) or low.startswith(SEARCH) or _COUNTER.match(low) or low in LINES:
         return "known"
     return kind
 
@@ -214,6 +217,8 @@ def page_features(site: str, title: str, lines: list[tuple[int, str, bool]]) ->
         own.append("shape:" + kinds[i])
         if shapes[i] not in ("para", "sent", "table") and any([x.strip() in MENU for x in _SPLIT.split(lows[i])]):
             own.append(f"menu:{kinds[i]}:{zone}")
+        if kinds[i] in ("head", "title", "long") and all([w in _MENU_WORDS for w in lows[i].split()]):
+            own.append("menu-words:" + kinds[i])
         out.append(own)
     return kinds, out, [_words(x) for x in lows]
 
@@ -244,7 +249,7 @@ def labelled(site: str, title: str, lines: list[tuple[int, str, bool]]) -> list[
         if hits > 1 or hits > 0 and len(text) < 260:
             out[i] = 1
             continue
-        if text.startswith(SEARCH) and len(words[i]) <= 6:
+        if text.startswith(SEARCH) and len(words[i]) <= 6 or _COUNTER.match(text) or text in LINES:
             out[i] = 1
             continue
         if menu * 2 >= len(entries) and (len(entries) > 1 or text not in _PLAIN or (out[i - 1] if i else 1) or i < (named or first)):
