@@ -21,10 +21,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamstone.llm.neardup import _long, codes_near, shingled, signatures, sketches, verified
+from loamstone.llm.neardup import BROADCAST_NODES, _long, codes_near, shingled, signatures, sketches, verified
+from loamstone.llm.shingles import mixed
 from loamstone.session import checkpointed, shared_dir, stored
 
 BUCKET_BITS = 18
+#: A token counts as common if its bucket has more occurrences than this, and than one in COMMON_SHARE texts: see
+#: repeated_records().
+COMMON, COMMON_SHARE = 5_000, 100
 #: Digest of empty content, which names no content.
 EMPTY_SHA256 = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
 
@@ -57,8 +61,12 @@ def token_counts(sets: DataFrame) -> np.ndarray:
     return out
 
 
-def postings(sets: DataFrame, counts: np.ndarray, threshold: float) -> DataFrame:
-    """(token, node, batch, size, rank, s0, s1) of the prefixes of (node, batch, codes)."""
+def postings(sets: DataFrame, counts: np.ndarray, threshold: float, common: str = "all", limit: int = COMMON) -> DataFrame:
+    """(token, node, batch, size, rank, s0, s1) of the prefixes of (node, batch, codes).
+
+    With `thinned`, the postings of a common token are those of about `limit` texts, chosen by their hash; with `only`,
+    just the common tokens are given, with all their postings. `limit` says what is common.
+    """
     shared = sets.sparkSession.sparkContext.broadcast(counts.astype(np.int32))
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -74,6 +82,13 @@ def postings(sets: DataFrame, counts: np.ndarray, threshold: float) -> DataFrame
             order = np.lexsort((codes, shared.value[_bucket(codes)], row))
             rank = np.arange(len(codes)) - offsets[:-1][row]
             keep = rank < (n - np.ceil(threshold * n - 1e-9).astype(np.int64) + 1)[row]
+            if common != "all":
+                held = shared.value[_bucket(codes[order])]
+                if common == "only":
+                    keep &= held > limit
+                else:
+                    share = np.maximum(1, held // limit).astype(np.uint64)
+                    keep &= (held <= limit) | (mixed(batch.column(0).to_numpy().view(np.uint64))[row] % share == 0)
             row, rank, token = row[keep], rank[keep], codes[order][keep]
             s0, s1 = sketches(signatures(codes.view(np.uint32), offsets))
             yield pa.RecordBatch.from_arrays(
@@ -105,6 +120,14 @@ def probe(index: DataFrame, batch: DataFrame, threshold: float) -> DataFrame:
     ).distinct()
 
 
+def one_per_text(sets: DataFrame) -> DataFrame:
+    """One of the rows of every node and batch: the one of least uid. Only texts with copies are listed for this."""
+    repeated = sets.groupBy("node", "batch").agg(F.min("uid").alias("_first"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
+    repeated = checkpointed(repeated)
+    repeated = F.broadcast(repeated) if repeated.count() <= BROADCAST_NODES else repeated
+    return sets.join(repeated, ["node", "batch"], "left").where("_first IS NULL OR uid = _first").drop("_first")
+
+
 class PrefixIndex:
     """The index of all accepted texts in a folder of the shared file system.
 
@@ -164,7 +187,9 @@ def repeated_records(
     are compared with accepted content only. Empty tables on any side give what the others imply.
 
     All pending batches probe the index in one pass, each posting only against earlier batches; the verdicts are then
-    drawn batch by batch from the few verified links.
+    drawn batch by batch from the few verified links. Equal texts of a batch are one posting list. A token that more
+    than one in a hundred texts may share (members of one large group of edited copies) first meets only about that many of them,
+    which settles the group's members; texts still without an accepted partner then meet all of its postings.
     """
     spark = incoming.sparkSession
     rows = incoming.select(F.col(key).alias("key"), F.coalesce(F.col(batch).cast("int"), F.lit(1)).alias("batch"), plain_digest(F.col(digest)).alias("digest"), F.col(text).alias("text")).where("key IS NOT NULL")
@@ -172,21 +197,32 @@ def repeated_records(
     old = shingled(accepted.select(F.struct(F.lit(None).cast("string").alias("key"), F.lit(0).alias("batch")).alias("r"), F.col(text).alias("text")), "r", F.col("text"), width)
     new = shingled(rows.select(record.alias("r"), "text"), "r", F.col("text"), width)
     sets = old.select("key", "node", "codes").union(new.select("key", "node", "codes"))
-    sets = stored(sets.select("key.key", "key.batch", "node", "codes"), "texts")
-    counts = token_counts(sets)
-    texts = sets.select("node", "batch", "codes")
-    index = postings(texts, counts, threshold)
-    pairs = checkpointed(probe(index, postings(texts.where("batch > 0"), counts, threshold), threshold))
-    links = checkpointed(verified(checkpointed(pairs.select("a", "b").distinct()), texts.select("node", "codes"), threshold))
-    links = pairs.join(links, ["a", "b"])
+    sets = stored(sets.select("key.key", "key.batch", "node", "codes", F.monotonically_increasing_id().alias("uid")), "texts")
+    texts = one_per_text(sets).select("node", "batch", "codes")
+    counts = token_counts(texts)
+    limit = max(COMMON, sets.count() // COMMON_SHARE)
+    known = digests.select(plain_digest(F.col(digest)).alias("digest")).where("digest IS NOT NULL").distinct()
+    hashed = rows.where("digest IS NOT NULL").select("key", "batch", "digest").distinct()
+    sure_hash = checkpointed(hashed.join(known, "digest", "left_semi").select("key"))
+
+    def linked(index: DataFrame, probes: DataFrame) -> DataFrame:
+        pairs = checkpointed(probe(index, probes, threshold))
+        found = verified(checkpointed(pairs.select("a", "b").distinct()), texts.select("node", "codes"), threshold)
+        return checkpointed(pairs.join(found, ["a", "b"]))
+
+    new_texts = texts.where("batch > 0")
+    links = linked(postings(texts, counts, threshold, "thinned", limit), postings(new_texts, counts, threshold))
+    if postings(new_texts, counts, threshold, "only", limit).limit(1).count():
+        # texts that a thinned token might have failed: those with no accepted partner yet meet all of its postings
+        settled = links.where("batch_b = 0").select(F.col("a").alias("node"), F.col("batch_a").alias("batch")).distinct()
+        left = new_texts.join(settled, ["node", "batch"], "left_anti").select("node", "batch", "codes")
+        links = links.union(linked(postings(texts, counts, threshold, "only", limit), postings(left, counts, threshold, "only", limit))).distinct()
     named = sets.where("batch > 0").select("key", "batch", "node").distinct()
     # what a record agrees with: an accepted text (batch 0) or an earlier record
     first = named.join(links, (F.col("node") == F.col("a")) & (F.col("batch") == F.col("batch_a")))
     alike = first.select("key", "batch", F.col("b").alias("_node"), F.col("batch_b").alias("_batch"))
     sure = alike.where("_batch = 0").select("key")
-    known = digests.select(plain_digest(F.col(digest)).alias("digest")).where("digest IS NOT NULL").distinct()
-    hashed = rows.where("digest IS NOT NULL").select("key", "batch", "digest").distinct()
-    sure = checkpointed(sure.union(hashed.join(known, "digest", "left_semi").select("key")).distinct())
+    sure = checkpointed(sure.union(sure_hash.select("key")).distinct())
     # a text or digest of an earlier batch counts while one of its records is no case: it stands for all its records
     left_hash = checkpointed(hashed.join(sure, "key", "left_anti"))
     left_text = checkpointed(named.join(sure, "key", "left_anti"))

@@ -78,3 +78,22 @@ def test_index_grows(spark):
     index.append(sets.join(found.select("key"), "key", "left_anti"))
     found, _ = index.similar(spark.createDataFrame([("c", first[1][1] + " more words"), ("d", "nothing like it at all")], "id string, t string"), "id", F.col("t"), 2)
     assert [(r.key, r.batch_b) for r in found.collect()] == [("c", 1)]
+
+
+def test_common_tokens(spark, monkeypatch):
+    """One large group of edited copies, with tokens beyond the limit: the result does not change."""
+    monkeypatch.setattr(incremental, "COMMON", 6)
+    monkeypatch.setattr(incremental, "COMMON_SHARE", 10**9)
+    rng = random.Random(12)
+    base = [rng.choice(WORDS) for _ in range(70)]
+    accepted = [" ".join(edited(rng, base, 4)) for _ in range(40)] + [" ".join(base)] * 5
+    drift, incoming = base, []
+    for n in range(60):
+        drift = edited(rng, drift, 3)
+        incoming.append((1 + n // 20, f"d{n}", None, " ".join(drift)))
+        incoming.append((1 + n // 20, f"e{n}", None, " ".join(edited(rng, base, 5))))
+    want = walk(accepted, [], incoming)
+    a = spark.createDataFrame([(t,) for t in accepted], "summary string")
+    d = spark.createDataFrame([], "content_hash string")
+    new = spark.createDataFrame(incoming, "batch_no int, id string, content_hash string, summary string")
+    assert {r.id for r in incremental.repeated_records(a, new, d).collect()} == want
