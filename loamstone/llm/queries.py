@@ -111,6 +111,19 @@ def p9_pages(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p2_text": p2_text, "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p6_groups": p6_groups, "p7_ids": p7_ids, "p8_mix": p8_mix, "p8_shares": p8_shares, "p8_tempered_shares": p8_tempered_shares, "p9_found": p9_found, "p9_pages": p9_pages}
 
 SQL = {
+    "p3_found": r"""
+WITH RECURSIVE long AS (SELECT raw_id, content AS c, length(content) AS n FROM raw WHERE length(content) > 4000),
+p AS (
+    SELECT raw_id, 0 AS piece_no, 0 AS start_pos, 200 AS end_pos FROM long
+    UNION ALL
+    SELECT raw_id, piece_no + 1, s, CASE WHEN n - s <= 4000 THEN n WHEN blank >= s + 2000 THEN blank WHEN line >= s + 2000 THEN line
+                                         WHEN sentence >= s + 2000 THEN sentence WHEN space >= s + 2000 THEN space ELSE s + 4000 END
+    FROM (SELECT raw_id, piece_no, s, n, length(regexp_extract(h, '(?s)^.*\n[ \t\r]*\n')) AS blank, length(regexp_extract(h, '(?s)^.*\n')) AS line,
+                 length(regexp_extract(h, '(?s)^.*[.!?] ')) AS sentence, length(regexp_extract(h, '(?s)^.* ')) AS space
+          FROM (SELECT p.raw_id, piece_no, end_pos - 200 AS s, n, substr(c, 1, end_pos + 3800) AS h FROM p JOIN long USING (raw_id) WHERE end_pos < n))
+)
+SELECT raw_id, piece_no, CAST(start_pos AS INT) AS start_pos, CAST(end_pos AS INT) AS end_pos FROM p WHERE piece_no > 0
+""",
     "p4_found": r"""
 WITH one AS (
     SELECT id, min({'d': nullif(regexp_replace(lower(trim(source.domain)), '^www\.|\.$', '', 'g'), ''),
