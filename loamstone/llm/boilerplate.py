@@ -61,7 +61,7 @@ inicio|quiénes somos|contacto|prensa|publicaciones|estudios|estadísticas|merca
 #: Words that also head sections of articles, and do not make a menu alone.
 _PLAIN = {"data", "statistics", "research", "publications", "topics", "regulation", "supervision", "markets", "payments"}
 
-_HEADER = re.compile(r"^[A-Za-z][A-Za-z_ -]{1,30}:(?:\s|$)")
+_HEADER = re.compile(r"^(?:[A-Z][A-Z_-]{1,30}|[a-z][a-z_-]{1,30}):(?:\s|$)")
 _WORD = re.compile(r"[^\W\d_]+|\d+")
 _END = re.compile(r"[.!?。](?:[\"”»)\]]*)$")
 _STOPS = re.compile(r"[^\W\d_]{2}[.!?][\"”»]?\s+[\"“«]?[A-ZÀ-Þ]|[%\d][.!?]\s+[A-ZÀ-Þ]")
@@ -117,7 +117,7 @@ def parts_of(content: str) -> tuple[str, str, list[tuple[int, str, bool]]]:
 
 def kind_of(text: str, n: int) -> str:
     """The shape of a line."""
-    text = _TRAIL.sub("", text) or text
+    text = text[:-40] + _TRAIL.sub("", text[-40:]) or text
     if "\t" in text:
         return "table"
     if not any(c.isalpha() for c in text):

@@ -183,8 +183,8 @@ def repeated_records(
     is a case if its digest is an accepted one, if its text has at least the similarity to an accepted text, or if it
     agrees in either way with a record of an earlier batch that is no case. Rows of one batch are not compared. Null
     digests and that of empty content match nothing, nor do null and blank texts and texts under `width` words. A record
-    sent twice is one record; a null key names no record; rows with a null batch come before all others of theirs and
-    are compared with accepted content only. Empty tables on any side give what the others imply.
+    sent twice is one record; a null key names no record; a null batch counts as
+    batch 1. Empty tables on any side give what the others imply.
 
     All pending batches probe the index in one pass, each posting only against earlier batches; the verdicts are then
     drawn batch by batch from the few verified links. Equal texts of a batch are one posting list. A token that more

@@ -22,8 +22,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 def words_of(text: Column) -> Column:
     """The maximal runs of letters and digits, lower-cased; an empty array for null and blank texts."""
-    spaced = F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " "))
-    return F.when(F.length(spaced) > 0, F.split(spaced, " ")).otherwise(F.array().cast("array<string>"))
+    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), "")
 
 
 def shingle_sets(words: pa.ListArray, width: int) -> tuple[np.ndarray, np.ndarray]:
