@@ -7,6 +7,7 @@ import contextlib
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,9 +31,31 @@ def local_session(app: str = "loamstone", cpus: int | None = None, memory: str =
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    ship(spark)
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Gives this package to the Python workers of the session's executors, once per application.
+
+    Functions that run in workers import it there; Spark distributes the archive, so neither the working folder nor
+    PYTHONPATH of the executors matters.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_loamstone_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="loamstone-"), "loamstone.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, files in os.walk(package):
+            for name in files:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.join("loamstone", os.path.relpath(path, package)))
+    context.addPyFile(archive)
+    context._loamstone_shipped = True
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, from spark.checkpoint.dir.
 
