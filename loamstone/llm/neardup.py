@@ -10,6 +10,7 @@ Rows of one key are compared on b-bit codes of the symbols (40 three-bit codes t
 is checked exactly on the shingle sets. Members of a very common key are compared with the
 first of its rows first; only members that are not yet in one component with each other are then compared, in blocks
 that are spread over tasks. So no key is capped, nothing is sampled, and a group of copies costs one row per batch.
+Where links are counted, the blocks are compared whole, whatever the components: the count asks for every pair.
 """
 
 from __future__ import annotations
@@ -241,9 +242,12 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return full.where(size >= threshold * (F.size("_x") + F.size("_y") - size)).select("a", "b")
 
 
-def near_duplicate_groups(records: DataFrame, key: str, text, *, width: int = 3, threshold: float = 0.5) -> DataFrame:
+def near_duplicate_groups(records: DataFrame, key: str, text, *, width: int = 3, threshold: float = 0.5, count_links: bool = True) -> DataFrame:
     """(key, group, links): one row per key and text, with the group it belongs to and its text's number of links.
 
+    The number of links takes every pair of a common key, which grows with the square of its texts; without count_links
+    the column is left out, and pairs that cannot change a group are not compared.
+
     `text` is a column expression. Texts with fewer than `width` words (null and blank ones too) take no part. Two
     records belong to one group if their similarity is at least `threshold` or a chain of such records joins them; equal
     sets of shingles always do. A record alone has a group of its own and 0 links. Rows that repeat a key are one
@@ -261,9 +265,14 @@ def near_duplicate_groups(records: DataFrame, key: str, text, *, width: int = 3,
     rooted = components(links)
     common = found.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("node"), "s0", "s1")
     if common.limit(1).count():
-        more = checkpointed(_common_pairs(common, rooted, parts))
+        # with no roots every text is a component of its own, so pairs inside the components are compared too
+        more = _common_pairs(common, rooted.limit(0) if count_links else rooted, parts)
+        more = checkpointed(more.join(pairs, ["a", "b"], "left_anti"))
         links = checkpointed(links.union(verified(more, sets, threshold)).distinct())
         rooted = components(links)
+    if not count_links:
+        grouped = sets.select("key", "node").distinct().join(rooted, "node", "left")
+        return grouped.select(F.col("key").alias(key), F.coalesce("root", "node").alias("group"))
     ends = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count("*").alias("_links"))
     nodes = rooted.join(ends, "node", "left")
     return (

@@ -58,14 +58,18 @@ def _titled(spark: SparkSession, folder: str) -> DataFrame:
     return rows.where(F.col("summary").rlike(r"[^\s\p{Z}]"))
 
 
+def _grouped(spark: SparkSession, folder: str, count_links: bool) -> DataFrame:
+    text = F.concat_ws(" ", "title", "summary")
+    return neardup.near_duplicate_groups(_titled(spark, folder), "id", text, count_links=count_links)
+
+
 def p6_groups(spark: SparkSession, folder: str) -> DataFrame:
     """One row per record with its group and the number of its text's links."""
-    text = F.concat_ws(" ", "title", "summary")
-    return neardup.near_duplicate_groups(_titled(spark, folder), "id", text)
+    return _grouped(spark, folder, True)
 
 
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
-    return neardup.group_pairs(p6_groups(spark, folder), "id").toDF("id_a", "id_b")
+    return neardup.group_pairs(_grouped(spark, folder, False), "id").toDF("id_a", "id_b")
 
 
 def p7_ids(spark: SparkSession, folder: str) -> DataFrame:

@@ -164,3 +164,20 @@ def test_small(spark, rows):
     df = spark.createDataFrame(rows, "id string, text string")
     got = neardup.near_duplicate_groups(df, "id", F.col("text")).collect()
     assert len({r.group for r in got}) <= 1 and len(got) == sum(t is not None for _, t in rows)
+
+
+def test_links_inside_common_keys(spark):
+    """Edited copies that meet only in common keys and share a component at once still count as links."""
+    rng = random.Random(6)
+    base = [rng.choice(WORDS) for _ in range(100)]
+    rows = []
+    for i in range(1400):
+        words = list(base)
+        words[rng.randrange(100)] = f"x{i}"  # every two copies have a similarity of at least 92 / 104
+        rows.append((f"r{i}", " ".join(words)))
+    df = spark.createDataFrame(rows, "id string, text string")
+    groups, links = collect(neardup.near_duplicate_groups(df, "id", F.col("text")))
+    assert groups == {frozenset(k for k, _ in rows)}
+    assert set(links.values()) == {1399}
+    bare = neardup.near_duplicate_groups(df, "id", F.col("text"), count_links=False)
+    assert bare.columns == ["id", "group"] and bare.select("group").distinct().count() == 1
