@@ -132,9 +132,9 @@ def _key_rows(sets: DataFrame) -> DataFrame:
     return sets.select("node", "codes").mapInArrow(make, "key long, node long, s0 long, s1 long")
 
 
-def _runs(batches: Iterator[pa.RecordBatch], columns: int) -> Iterator[list[np.ndarray]]:
-    """Sorted batches regrouped so that no key is divided, unless it is longer than 50,000 rows: such a key comes in
-    parts, each led by its first row."""
+def _runs(batches: Iterator[pa.RecordBatch], columns: int) -> Iterator[tuple[list, list[np.ndarray]]]:
+    """(divided keys, rows): sorted batches regrouped so that no key is divided, unless it is longer than 50,000 rows:
+    such a key comes in parts, each led by its first row, and is named with every part, however short."""
     held: list[np.ndarray] | None = None
     lead: list | None = None
     for batch in batches:
@@ -144,23 +144,24 @@ def _runs(batches: Iterator[pa.RecordBatch], columns: int) -> Iterator[list[np.n
         if not len(now[0]):
             continue
         cut = int(np.searchsorted(now[0], now[0][-1]))  # start of the last key
+        divided = [lead[0]] if lead is not None else []
         if len(now[0]) - cut > 50_000:
             if lead is None or lead[0] != now[0][-1]:
                 lead = [c[cut] for c in now]
-            yield now
+            yield [*divided, lead[0]], now
             held = [np.array([x], c.dtype) for x, c in zip(lead, now, strict=True)]
             continue
         if cut:
-            yield [c[:cut] for c in now]
+            yield divided, [c[:cut] for c in now]
         held = [c[cut:] for c in now]
     if held is not None:
-        yield held
+        yield [lead[0]] if lead is not None else [], held
 
 
 def _near_in_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sorted (key, node, s0, s1) to pairs of small keys, pairs with the first row of common keys (kind 0), and the rows
     of common keys as they are (kind 1)."""
-    for key, node, s0, s1 in _runs(batches, 4):
+    for divided, (key, node, s0, s1) in _runs(batches, 4):
         new = np.ones(len(key), bool)
         new[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
         key, node, s0, s1 = key[new], node[new], s0[new].view(np.uint64), s1[new].view(np.uint64)
@@ -168,7 +169,7 @@ def _near_in_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
         size = np.diff(np.append(start, len(key)))
         begin, length = np.repeat(start, size), np.repeat(size, size)
-        common = length > COMMON
+        common = (length > COMMON) | np.isin(key, divided)
         small = np.flatnonzero((length > 1) & ~common)
         left, right = [], []
         place = np.arange(len(key)) - begin

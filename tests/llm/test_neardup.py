@@ -181,3 +181,28 @@ def test_links_inside_common_keys(spark):
     assert set(links.values()) == {1399}
     bare = neardup.near_duplicate_groups(df, "id", F.col("text"), count_links=False)
     assert bare.columns == ["id", "group"] and bare.select("group").distinct().count() == 1
+
+
+@pytest.mark.parametrize("sizes", [[60_000, 300], [60_000, 60_000, 300], [50_001]])
+def test_long_key_in_parts(sizes):
+    """All texts of a key that is divided go to the second step, however short its last part or few its texts are."""
+    import numpy as np
+    import pyarrow as pa
+
+    def batch(key, node):
+        zero = pa.array(np.zeros(len(key), np.int64))
+        return pa.RecordBatch.from_arrays([pa.array(np.array(key)), pa.array(np.array(node)), zero, zero], ["key", "node", "s0", "s1"])
+
+    # one key of distinct texts, or of one text that fills it, and then short keys
+    total, few = sum(sizes), len(sizes) == 1
+    nodes = np.zeros(total, np.int64) if few else np.arange(total)
+    starts = np.cumsum([0, *sizes])
+    batches = [batch([1] * n, nodes[s : s + n]) for n, s in zip(sizes, starts, strict=False)]
+    batches.append(batch([1, 2, 2, 3], [total, total + 1, total + 2, 0]))
+    many, pairs = set(), set()
+    for b in neardup._near_in_key(iter(batches)):
+        kind, x, y = (b.column(i).to_numpy() for i in range(3))
+        many |= set(zip(x[kind == 1].tolist(), y[kind == 1].tolist(), strict=True))
+        pairs |= set(zip(x[kind == 0].tolist(), y[kind == 0].tolist(), strict=True))
+    assert many == {(1, n) for n in {*nodes.tolist(), total}}
+    assert (total + 1, total + 2) in pairs and not any(p[0] in (total + 1, total + 2) and p != (total + 1, total + 2) for p in pairs)
