@@ -12,6 +12,7 @@ from loamstone.functions.scoring import band, jaccard, weighted
 from loamstone.operators import dedupe, terms
 from loamstone.operators.joins import token_join
 from loamstone.operators.ranking import first_wins, last_wins, modal_value, top_per
+from loamstone.plans.records import record_instants
 from loamstone.sources.records import body_of, header_of
 from loamstone.sources.sinks import merged
 from loamstone.sources.tables import table
@@ -41,6 +42,13 @@ def _records(spark: SparkSession, folder: str) -> DataFrame:
     return first_wins(table(spark, folder, "research_record"), ["id"], ["created_at", "source.published_at"])
 
 
+def _days(spark: SparkSession, folder: str, field: str) -> DataFrame:
+    """(id, day): the UTC day of the field's instant, for every record whose value names one, in whatever form."""
+    found = record_instants(spark, folder).where((F.col("field") == field) & F.col("utc_us").isNotNull())
+    day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(F.col("utc_us") / 86_400_000_000).cast("int"))
+    return found.groupBy("id").agg(F.min(day).alias("day"))  # rows of one id name the same instant
+
+
 def source_stats(spark: SparkSession, folder: str) -> DataFrame:
     """Counts by status, exact shares in basis points, score sums and the last spelling of created_at by source."""
     rows = _records(spark, folder).select(
@@ -228,14 +236,16 @@ def similar_tags(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def leader_clusters(spark: SparkSession, folder: str) -> DataFrame:
-    """Records of one source and week grouped around leaders of similar title words, in order of id."""
-    rows = _records(spark, folder).select("id", _domain().alias("domain"), day_of(F.substring("created_at", 1, 10)).alias("day"), text.clean_tokens(F.col("title"), STOPWORDS).alias("terms"))
-    rows = rows.where("domain IS NOT NULL AND day IS NOT NULL").withColumn("week", week_start(F.col("day")))
+    """Records of one source and week (UTC) grouped around leaders of similar title words, in order of id. Records
+    without a source or whose created_at names no instant take no part."""
+    rows = _records(spark, folder).select("id", _domain().alias("domain"), text.clean_tokens(F.col("title"), STOPWORDS).alias("terms"))
+    rows = rows.where("domain IS NOT NULL").join(_days(spark, folder, "created_at"), "id").withColumn("week", week_start(F.col("day")))
     return dedupe.leader_groups(rows, "id", ["domain", "week"], "id", "terms", 0.5)
 
 
 def weekly_digest(spark: SparkSession, folder: str) -> DataFrame:
-    """Accepted records by ISO week with plain ISO days: number, sources and the most frequent topic."""
+    """Accepted records by ISO week: number, sources and the most frequent topic. As in its SQL, only values of created_at
+    that start with a year-month-day or month/day/year text count, by the day as written; other forms are left out."""
     rows = _records(spark, folder).where("status = 'accepted'").select("id", _domain().alias("domain"), "topic", day_of(F.substring("created_at", 1, 10)).alias("day"))
     rows = rows.where("day IS NOT NULL").withColumn("week", week_start(F.col("day")))
     topics = rows.groupBy("week", "topic").agg(F.count("*").alias("n"))
