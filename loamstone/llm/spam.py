@@ -7,6 +7,12 @@ share of function words: ordinary sentences of a language keep a stable share of
 threshold for that share is calibrated per language over all documents, as a fraction of the median share of the
 language's sentences. A document is spam if most of its words are list words, repeated words or words of pieces without
 function words. Tables of figures, dated values, programme lines, glossary entries, headings and references are neutral.
+Unended pieces of 10 words or fewer are only judged as lists.
+
+Texts mostly in Chinese, Japanese, Korean or Thai script have no words to weigh. Two characters count as a word; their lines
+are judged as lists in the same way, unended lines also by the separators of these scripts, and pieces between separators
+that recur and sentences full of the most repeated characters count as repeated. Strings of different keywords without
+separators, and in Korean and Thai with blanks alone between them, are not found in these scripts.
 """
 
 from __future__ import annotations
@@ -43,6 +49,12 @@ SHORT = 12
 ENDS = tuple(".!?:\"”»。")
 _CJK = re.compile(r"[぀-ヿ㐀-鿿가-힯฀-๿]")
 _WORD = re.compile(r"[^\W_]+(?:['’-][^\W_]+)*")
+_CJK_WORD = re.compile(rf"{_CJK.pattern}{{1,2}}|(?:(?!{_CJK.pattern})[^\W_])+")
+_SPACED = re.compile(r"[가-힯฀-๿]")  # scripts in which blanks are no separators
+_CJK_SEPARATORS, _CJK_BLANKS = re.compile(r"[|｜/／・･·•、，,;；»>›~]+"), re.compile(r"[|｜/／・･·•、，,;；»>›~\s]+")
+_CJK_PIECES = re.compile(r"[|｜/／・･·•、，,;；»>›~\s。．！？.!?]+")
+_CJK_STOP, CJK_ENDS = re.compile(r"[。．！？]"), (*ENDS, "！", "？", "．")
+_CJK_SENTENCE = re.compile(r"(?<=[。．！？!?])|(?<=\.)\s+")
 _LINK = re.compile(r"\[[^\[\]\n]*\]\([^)\s]*\)?|(?:https?://|www\.)\S+")
 _SITE = re.compile(r"\s[-–—|·]\s*[a-z0-9-]+(?:\.[a-z0-9-]+)+\s*$")
 _PRICE = re.compile(r"\s[$€£]?\d+[.,]\d\d\s*[$€£]?\s*$")
@@ -72,28 +84,12 @@ def measures(text: str) -> tuple[str, int, int, list[int], list[int]]:
             votes[k] += n
     language = max(votes, key=lambda k: (votes[k], k)) if votes else ""
     if not text.isascii() and len(_CJK.findall(text)) * 2 > len(text):
-        return "cjk", total, 0, open_bins, sentence_bins
+        words = [_CJK_WORD.findall(x.lower()) for x in lines]
+        return "cjk", sum(map(len, words)), _cjk_listed(lines, words), open_bins, sentence_bins
     # a word of any language's function words counts, since pages mix languages
     heads = Counter(_lead(x) for x, w in zip(lines, words, strict=True) if len(w) <= SHORT)
     same = Counter(x.strip().lower() for x in lines)
-    listed, run, prose = 0, [], []
-    for line, own in zip([*lines, ""], [*words, []], strict=True):
-        n = len(own)
-        kind = _line_kind(line, n, heads, same) if n else ""
-        if kind == "short":
-            run.append((line, own))
-            continue
-        if run and kind != "listed":
-            # short lines count as a list where many follow one another
-            if len(run) >= RUN:
-                listed += sum(len(w) for _, w in run)
-            else:
-                prose += run
-            run = []
-        if kind == "listed":
-            listed += n
-        elif kind == "prose":
-            prose.append((line, own))
+    listed, prose = _listed(lines, words, heads, same)
     parts = []
     for line, own in prose:
         sentences = _SENTENCE.split(line)
@@ -115,11 +111,77 @@ def measures(text: str) -> tuple[str, int, int, list[int], list[int]]:
             open_bins[at] += m
         elif m >= 25 and len(set(part)) * 3 < m:
             listed += m  # a long string of few words
-        elif m >= 25:
+        elif m > 10:
             open_bins[at] += m
     return language, total, listed, open_bins, sentence_bins
 
 
+def _listed(lines: list[str], words: list[list[str]], heads: Counter, same: Counter) -> tuple[int, list[tuple[str, list[str]]]]:
+    """(list words, the other lines with their words that are not neutral)."""
+    listed, run, prose = 0, [], []
+    for line, own in zip([*lines, ""], [*words, []], strict=True):
+        n = len(own)
+        kind = _line_kind(line, n, heads, same) if n else ""
+        if kind == "short":
+            run.append((line, own))
+            continue
+        if run and kind != "listed":
+            # short lines count as a list where many follow one another
+            if len(run) >= RUN:
+                listed += sum(len(w) for _, w in run)
+            else:
+                prose += run
+            run = []
+        if kind == "listed":
+            listed += n
+        elif kind == "prose":
+            prose.append((line, own))
+    return listed, prose
+
+
+def _cjk_listed(lines: list[str], words: list[list[str]]) -> int:
+    """List words and repeated words of a text in a script without words."""
+    heads = Counter(_lead(x) for x, w in zip(lines, words, strict=True) if len(w) <= SHORT)
+    same = Counter(x.strip().lower() for x in lines)
+    pieces = Counter(p for x in lines for p in _CJK_PIECES.split(x.lower()) if len(p) > 1)
+    listed, prose = _listed(lines, words, heads, same)
+    rest = []
+    for line, own in prose:
+        bare = line.strip()
+        parts = [p for p in (_CJK_SEPARATORS if _SPACED.search(bare) else _CJK_BLANKS).split(bare) if p]
+        if bare[-1:] not in CJK_ENDS and not _CJK_STOP.search(bare) and len(parts) >= 5 and len(own) <= 9 * len(parts):
+            listed += len(own)
+        else:
+            rest += [x for x in _CJK_SENTENCE.split(bare) if x and x.strip()]
+    repeated = _repeated_signs(rest)
+    for sentence in rest:
+        n = len(_CJK_WORD.findall(sentence.lower()))
+        held = sum(len(_CJK_WORD.findall(p)) for p in _CJK_PIECES.split(sentence.lower()) if pieces[p] >= 4)
+        letters = sum(map(str.isalnum, sentence))
+        if repeated and sum(_covered(sentence, repeated)) * 20 >= 7 * letters:
+            held = n
+        listed += min(n, held)
+    return listed
+
+
+def _covered(sentence: str, grams: set[str]) -> list[bool]:
+    """Which characters belong to one of the three-character strings."""
+    out = [False] * len(sentence)
+    for i in range(len(sentence) - 2):
+        if sentence[i : i + 3] in grams:
+            out[i : i + 3] = [True] * 3
+    return out
+
+
+def _repeated_signs(sentences: list[str]) -> set[str]:
+    """The most frequent strings of three characters, if they cover a quarter of all letters."""
+    grams = Counter(g for x in sentences for g in (x[i : i + 3] for i in range(len(x) - 2)) if g.isalpha())
+    top = {g for g, n in grams.most_common(3) if n >= 4}
+    if not top or sum(sum(_covered(x, top)) for x in sentences) * 4 < sum(map(str.isalnum, "".join(sentences))):
+        return set()
+    return top
+
+
 def _line_kind(line: str, n: int, heads: Counter, same: Counter) -> str:
     """`listed`, `neutral`, `short` (an unended line of a few words) or `prose`."""
     bare = line.strip()

@@ -86,6 +86,32 @@ def test_spam_long(spark):
     assert {r.doc_id for r in spam.stuffed_pages(df, "doc_id", "text").collect()} >= {3}
 
 
+def test_spam_middle_lines(spark):
+    """Lines of 11 to 24 keywords without separators are found like longer ones."""
+    rng = random.Random(3)
+    words = [a + b for a in ("cred", "mort", "bond", "fund", "swap", "debt", "cash", "gold") for b in ("ora", "ilo", "une", "ist", "ark", "emo", "oli", "ant")]
+    rows = [(n, "\n".join(" ".join(rng.sample(words, n)) for _ in range(12))) for n in (11, 18, 24, 25)]
+    rows += [(100 + i, PROSE) for i in range(20)] + [(200, "\n".join(["The growth of prices in the region has slowed over the last year and it may slow more"] * 3))]
+    df = spark.createDataFrame(rows, "doc_id int, text string")
+    assert {r.doc_id for r in spam.stuffed_pages(df, "doc_id", "text").collect()} == {11, 18, 24, 25}
+
+
+def test_spam_scripts(spark):
+    """Lists, menus and repeated keywords in scripts without words are found; sentences are not."""
+    prose = "物価上昇率は昨年の水準を再び低下した。短期金利は前月より横ばいで推移した。国債利回りは四半期ベースで下回った。銀行貸出は市場予想を小幅に上昇した。外貨準備は季節調整後で、わずかに改善した。"
+    found = {
+        "bars": "格安ローン｜即日融資｜住宅ローン｜銀行口座｜低金利｜無料相談｜外貨預金", "commas": "格安贷款，银行贷款，房屋贷款，信用贷款，汽车贷款，快速贷款", "blanks": "格安ローン 即日融資 住宅ローン 銀行口座 低金利 無料相談",
+        "menu": "\n".join(f"{x}一覧" for x in "東西南北春夏秋冬上下"), "links": "\n".join(f"[格安ローン情報]({i})" for i in range(9)), "copies": "格安ローンはこちらへ。\n" * 6,
+        "keyword": "格安ローンなら格安ローン店。格安ローン情報と格安ローン比較。格安ローン相談。" * 2, "korean": "저렴한 대출 | 은행 대출 | 주택 대출 | 신용 대출 | 빠른 대출 | 무료 상담", "thai": "สินเชื่อ " * 12,
+    }
+    plain = {
+        "ja": prose, "long": prose * 2 + "\n" + prose, "zh": "委员会指出，去年经济增长放缓，物价上涨，工资也随之上升，出口下降。预计今年价格涨幅将低于百分之二。", "ko": "위원회는 지난해 성장세가 둔화되었다고 밝혔다. 물가는 올해 이 퍼센트 미만으로 오를 것으로 예상된다.",
+        "th": "คณะกรรมการ ระบุว่า การเติบโต ชะลอตัวลง ในปีที่ผ่านมา และคาดว่า ราคา จะสูงขึ้น", "title": "外貨準備の改善",
+    }
+    df = spark.createDataFrame(list({**found, **plain}.items()), "doc_id string, text string")
+    assert {r.doc_id for r in spam.stuffed_pages(df, "doc_id", "text").collect()} == set(found)
+
+
 # --- cutoffs ---
 def test_cutoffs(spark):
     rng = random.Random(2)
