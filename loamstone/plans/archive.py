@@ -126,6 +126,7 @@ def url_hashes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def record_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Hashes and ids of every record. As in its SQL, event_fingerprint has a constant day: see event_fingerprints."""
     rows = _records(spark, folder)
     title, domain = F.col("title"), _domain()
     return rows.select(
@@ -135,6 +136,13 @@ def record_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def event_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """The event fingerprint of every record with its own UTC day of publication; null without a source, a type or a
+    published_at that names an instant."""
+    rows = _records(spark, folder).select("id", _domain().alias("domain"), "event_type").join(_days(spark, folder, "published_at"), "id", "left")
+    return rows.select("id", hashing.event_fingerprint(F.col("domain"), F.col("day").cast("string"), F.col("event_type")).alias("event_fingerprint"))
+
+
 def equal_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Documents whose text repeats that of a document of lower id, letter case and white space aside."""
     rows = table(spark, folder, "documents").where("text IS NOT NULL").select("doc_id", hashing.content_fingerprint(F.col("text")).alias("f"))
@@ -275,7 +283,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         source_stats, source_names, best_sources, source_bands, source_health, raw_without_record, unseen_urls, manifest_upsert, url_parts, url_hashes,
-        record_fingerprints, equal_documents, survivor_levels, raw_headers, raw_bodies, text_filter, languages, word_counts, document_themes, document_links,
+        record_fingerprints, event_fingerprints, equal_documents, survivor_levels, raw_headers, raw_bodies, text_filter, languages, word_counts, document_themes, document_links,
         term_frequency, title_ngrams, tag_cooccurrence, watchlist_hits, similar_tags, leader_clusters, weekly_digest, latest_by_topic, issue_counts, common_names,
     )
 }

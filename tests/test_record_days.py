@@ -1,5 +1,8 @@
 """Queries by day take every record whose timestamp names an instant, whatever its form."""
 
+import datetime
+import hashlib
+
 from pyspark.sql import functions as F
 
 from loamstone.functions.domains import plain_domain
@@ -14,3 +17,13 @@ def test_leader_clusters_take_all_forms(spark, data):
     sourced = table(spark, data, "research_record").where(plain_domain(F.col("source.domain")).isNotNull()).select("id")
     want = {r.id for r in named.intersect(sourced).collect()}
     assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_event_fingerprints_have_own_days(spark, data):
+    got = {r.id: r.event_fingerprint for r in archive.event_fingerprints(spark, data).collect()}
+    days = {}
+    for r in record_instants(spark, data).where("field = 'published_at' AND utc_us IS NOT NULL").select("id", "utc_us").collect():
+        days[r.id] = (datetime.datetime(1970, 1, 1) + datetime.timedelta(microseconds=r.utc_us)).date()
+    rows = table(spark, data, "research_record").select("id", plain_domain(F.col("source.domain")).alias("d"), F.lower(F.trim("event_type")).alias("e")).collect()
+    want = {r.id: hashlib.sha1(f"{r.d}|{days[r.id]}|{r.e}".encode()).hexdigest() if r.d and r.e and r.id in days else None for r in rows}
+    assert got == want and len({days[i] for i, f in got.items() if f}) > 10
