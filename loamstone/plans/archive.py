@@ -220,6 +220,12 @@ def tag_cooccurrence(spark: SparkSession, folder: str) -> DataFrame:
     return terms.cooccurrence(rows, "id", F.col("tags"), vocabulary)
 
 
+def all_tag_cooccurrence(spark: SparkSession, folder: str) -> DataFrame:
+    """The same for all tags."""
+    rows = _records(spark, folder).select("id", F.col("tags"))
+    return terms.cooccurrence(rows, "id", F.col("tags"), terms.document_frequency(rows, F.col("tags")))
+
+
 def watchlist_hits(spark: SparkSession, folder: str) -> DataFrame:
     """Records that hold terms of a watched subject, all its required terms, and how many blocked ones."""
     rows = _records(spark, folder).select("id", text.tokens(F.concat_ws(" ", "title", "summary")).alias("tokens"))
@@ -284,7 +290,7 @@ QUERIES = {
     for f in (
         source_stats, source_names, best_sources, source_bands, source_health, raw_without_record, unseen_urls, manifest_upsert, url_parts, url_hashes,
         record_fingerprints, event_fingerprints, equal_documents, survivor_levels, raw_headers, raw_bodies, text_filter, languages, word_counts, document_themes, document_links,
-        term_frequency, title_ngrams, tag_cooccurrence, watchlist_hits, similar_tags, leader_clusters, weekly_digest, latest_by_topic, issue_counts, common_names,
+        term_frequency, title_ngrams, tag_cooccurrence, all_tag_cooccurrence, watchlist_hits, similar_tags, leader_clusters, weekly_digest, latest_by_topic, issue_counts, common_names,
     )
 }
 

@@ -72,7 +72,16 @@ def _daily_lines(spark: SparkSession, folder: str) -> DataFrame:
 def band_links_top3(spark: SparkSession, folder: str) -> DataFrame:
     """For each urgent order of 1998 the three nearest days within a week on which most was shipped."""
     orders = table(spark, folder, "orders").where("o_orderpriority = '1-URGENT'")
-    orders = orders.where(F.year("o_orderdate") == 1998).select("o_orderkey", F.to_date("o_orderdate").alias("order_day"))
+    return _band_links(spark, folder, orders.where(F.year("o_orderdate") == 1998))
+
+
+def all_band_links_top3(spark: SparkSession, folder: str) -> DataFrame:
+    """The same for every order."""
+    return _band_links(spark, folder, table(spark, folder, "orders"))
+
+
+def _band_links(spark: SparkSession, folder: str, orders: DataFrame) -> DataFrame:
+    orders = orders.select("o_orderkey", F.to_date("o_orderdate").alias("order_day"))
     pairs = range_join(orders, _daily_lines(spark, folder), "order_day", "ship_day", 7)
     pairs = pairs.withColumn("score", F.lit(100) - F.abs(F.datediff("ship_day", "order_day")) * 60 / 7)
     pairs = pairs.withColumn("distance", F.abs(F.datediff("ship_day", "order_day")))
@@ -163,7 +172,16 @@ def trade_graph_reach(spark: SparkSession, folder: str) -> DataFrame:
 
 def part_components(spark: SparkSession, folder: str) -> DataFrame:
     """Components of suppliers that share a part in returned lines of high quantity, by size."""
-    rows = table(spark, folder, "lineitem").where("l_returnflag = 'R' AND l_quantity >= 49").select("l_partkey", "l_suppkey").distinct()
+    return _part_components(table(spark, folder, "lineitem").where("l_returnflag = 'R' AND l_quantity >= 49"))
+
+
+def all_part_components(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of suppliers that share a part in any lines, by size."""
+    return _part_components(table(spark, folder, "lineitem"))
+
+
+def _part_components(lines: DataFrame) -> DataFrame:
+    rows = lines.select("l_partkey", "l_suppkey").distinct()
     least = rows.groupBy("l_partkey").agg(F.min("l_suppkey").alias("b"))
     links = rows.join(least, "l_partkey").select(F.col("l_suppkey").alias("a"), "b").where("a <> b")
     return graph.components(links).groupBy("root").agg(F.count("*").alias("members"))
@@ -188,9 +206,9 @@ def latest_order_upsert(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        pricing_summary, shipping_priority, local_supplier_volume, revenue_forecast, referential_integrity, band_links_top3, business_day_gaps,
+        pricing_summary, shipping_priority, local_supplier_volume, revenue_forecast, referential_integrity, band_links_top3, all_band_links_top3, business_day_gaps,
         previous_order_as_of, salted_brand_revenue, sales_rollup, status_pivot, grouping_sets, top_customers, order_budget, customer_set_operations,
-        trade_graph_reach, part_components, moving_revenue, latest_order_upsert,
+        trade_graph_reach, part_components, all_part_components, moving_revenue, latest_order_upsert,
     )
 }
 
