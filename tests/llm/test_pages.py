@@ -112,6 +112,45 @@ def test_spam_scripts(spark):
     assert {r.doc_id for r in spam.stuffed_pages(df, "doc_id", "text").collect()} == set(found)
 
 
+PLAIN = {
+    "ru": ["Центральный банк сообщил, что темпы роста экономики замедлились в прошлом году.", "По мнению комитета, цены будут расти не так быстро, как осенью.", "Он не видит причин для снижения ставки, но готов к этому и в следующем году."],
+    "ar": ["قال البنك المركزي في تقرير له إن النمو قد تباطأ في العام الماضي.", "ومن المتوقع أن ترتفع الأسعار في هذا العام ولكن ليس كما في السابق.", "لم يجد المجلس ما يدعو إلى خفض سعر الفائدة في الوقت الحالي من العام."],
+    "pl": ["Bank centralny podał, że tempo wzrostu gospodarki w ubiegłym roku spadło do trzech procent.", "Rada nie widzi powodów, aby obniżyć stopy, ale jest na to gotowa i za rok.", "W ocenie członków rady ceny nie będą rosły tak szybko, jak na jesieni."],
+    "ja": ["中央銀行は昨年の成長率が鈍化したことを明らかにした。", "委員会は物価が秋ほど速くは上がらないと見ている。", "金利を下げる理由は見当たらないが、来年にはその用意もある。"],
+    "zh": ["央行表示，去年的经济增长有所放缓，但是物价的上涨仍然在目标之上。", "委员会认为，今年的物价不会像去年秋天一样上涨得那么快。", "目前没有降低利率的理由，不过明年也可以有所准备。"],
+    "sv": ["Riksbanken meddelade att tillväxten i ekonomin har minskat under det senaste året.", "Enligt ledamöterna kommer priserna inte att stiga så fort som de gjorde i höstas.", "Det finns inga skäl att sänka räntan, men banken är beredd att göra det nästa år."],
+}
+KEYWORDS = {
+    "ru": "кредит онлайн ипотека вклад страхование займ карта банк выгодно быстро дешево рефинансирование", "ar": "قرض سريع بطاقة ائتمان تمويل عقاري تأمين سيارات استثمار ذهب تداول أسهم رخيص",
+    "pl": "kredyt gotówkowy pożyczka chwilówka lokata ubezpieczenie hipoteka karta leasing tanio szybko online", "ja": "格安ローン 即日融資 住宅ローン 銀行口座 低金利 無料相談 外貨預金", "zh": "低息贷款 房屋贷款 信用卡 快速放款 汽车贷款 免费咨询 外汇开户",
+    "sv": "snabblån kreditkort bolån försäkring sparkonto billigt fonder aktier guld räntefritt privatlån utbetalning",
+}
+
+
+def test_spam_languages(spark):
+    """No language is condemned for having no list of function words, and stuffed pages of each are found."""
+    rng, plain, stuffed = random.Random(5), [], []
+    for lang, sentences in PLAIN.items():
+        between = "" if lang in ("ja", "zh") else " "
+        keywords = KEYWORDS[lang].split()
+        for i in range(24):
+            text = between.join(rng.choice(sentences) for _ in range(12))
+            if i % 3 == 1 and between:  # wrapped lines
+                w = text.split()
+                text = "\n".join(" ".join(w[k : k + 12]) for k in range(0, len(w), 12))
+            plain.append((f"{lang}{i}", text))
+        for i in range(10):
+            words = [rng.choice(keywords) for _ in range(120)]
+            kinds = [" ".join(words), " | ".join(words), "\n".join(" ".join(words[k : k + 14]) for k in range(0, 120, 14)), "\n".join(f"[{w} {k}](https://x{k}.example)" for k, w in enumerate(words[:20]))]
+            stuffed.append((f"{lang}-s{i}", kinds[i % 4]))
+    df = spark.createDataFrame(plain + stuffed, "doc_id string, text string")
+    got = {r.doc_id for r in spam.stuffed_pages(df, "doc_id", "text").collect()}
+    assert not got & {k for k, _ in plain} and len(got) >= 0.9 * len(stuffed)
+    # single pages: nothing calibrates their language, so it is not held against them
+    few = spark.createDataFrame([(k, ("" if k in ("ja", "zh") else " ").join(x)) for k, x in PLAIN.items()], "doc_id string, text string")
+    assert not spam.stuffed_pages(few, "doc_id", "text").count()
+
+
 # --- cutoffs ---
 def test_cutoffs(spark):
     rng = random.Random(2)
