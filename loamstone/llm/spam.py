@@ -391,6 +391,7 @@ def learned_words(texts: DataFrame) -> dict[str, frozenset]:
             )
 
     counted = texts.select("language", "text").mapInArrow(count, "language string, token string, n long").groupBy("language", "token").agg(F.sum("n").alias("n"))
+    counted = stored(counted, "tokens")
     whole = counted.where("token = ''").select("language", F.col("n").alias("all"))
     signs = F.col("language").isin("kana", "han", "hangul", "thai")
     least = F.when(signs, LEARNED_SIGNS).otherwise(LEARNED_SHARE)
@@ -479,8 +480,10 @@ def stuffed_pages(documents: DataFrame, key: str, text: str, *, share: float = 0
     rest = measured.where("text IS NOT NULL")
     if rest.limit(1).count():
         learned = learned_words(rest)
-        again = stored(page_measures(rest.select("key", "text"), "key", "text", learned), "pages")
-        measured = measured.where("text IS NULL").drop("text").union(again.drop("text"))
+        known = F.col("text").isNotNull() & F.col("language").isin(*learned) if learned else F.lit(False)
+        again = stored(page_measures(measured.where(known).select("key", "text"), "key", "text", learned), "pages")
+        measured = measured.where(~known).union(again)
+    measured = measured.drop("text")
     levels = stored(calibrated(measured, fraction), "levels").coalesce(1)
     names = [*FLOORS, "function"]
     own = levels.where("language IS NOT NULL").select("language", F.struct(*names).alias("own"))
