@@ -95,6 +95,12 @@ def stored(df: DataFrame, name: str = "t", partition_by: list[str] | None = None
     return spark.read.schema(df.schema).parquet(path)
 
 
+def owned(folder: str) -> str:
+    """The folder, which goes when the process ends or with clean_up(), like those of stored()."""
+    _FOLDERS.append(folder)
+    return folder
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """df computed once and kept in the shared folder; its lineage ends there, so a lost executor loses nothing.
 
