@@ -2,10 +2,11 @@
 
 A text's tokens are its word shingles, in an order from rare to common. If two texts of n and m shingles have a
 similarity of at least t, they share at least t / (1 + t) * (n + m) of them, so the first shared one stands early in
-both: only the first n - ceil(t * n) + 1 tokens of a text need to be in the index. A posting is (token, text, batch,
-size, rank, s0, s1). A batch's prefixes are joined with the postings by token; the sizes, the ranks (positional bound)
-and the distance of the sketches are tested inside the join, so only few pairs leave it, and these are verified on
-their whole shingle sets. Accepted records of the batch then append their postings; the history is not read again.
+both: only the first n - ceil(t * n) + 1 tokens of a text need to be in the index. A posting is (token, node, size, rank,
+b0, b1, b2, b3). A batch's prefixes are joined with the postings by token; inside the join three bounds are tested that no
+similar pair fails: the sizes, the ranks (what can still be shared after the token), and the bitmaps (256 bits, each the
+parity of the shingles that fall on it: two of them differ in at most as many bits as the sets differ in elements). What is
+left is verified on the whole sets. Records that are accepted append their postings; the history is not read again.
 
 Any fixed order of tokens is right. The one used here is by counts in a fixed number of hash buckets over the history
 at the time the index was started: 2^18 numbers, however large the corpus.
@@ -14,23 +15,29 @@ at the time the index was started: 2^18 numbers, however large the corpus.
 from __future__ import annotations
 
 import functools
+import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamstone.llm.neardup import BROADCAST_NODES, _long, codes_near, shingled, signatures, sketches, verified
+from loamstone.llm.neardup import BROADCAST_NODES, _long, shingled, verified
 from loamstone.llm.shingles import mixed
-from loamstone.session import checkpointed, shared_dir, stored
+from loamstone.session import checkpointed, owned, shared_dir, stored
 
 BUCKET_BITS = 18
 #: A token counts as common if its bucket has more occurrences than this, and than one in COMMON_SHARE texts: see
-#: repeated_records().
+#: PrefixIndex.
 COMMON, COMMON_SHARE = 5_000, 100
+#: Postings of a batch up to which they are broadcast (about 70 bytes each); beyond, both sides are shuffled by token.
+BROADCAST_POSTINGS = 1_000_000
 #: Digest of empty content, which names no content.
 EMPTY_SHA256 = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
+_BITS = ["b0", "b1", "b2", "b3"]
+_POSTING = "token int, node long, size int, rank int, b0 long, b1 long, b2 long, b3 long"
 
 
 def plain_digest(digest: Column) -> Column:
@@ -61,121 +68,176 @@ def token_counts(sets: DataFrame) -> np.ndarray:
     return out
 
 
-def postings(sets: DataFrame, counts: np.ndarray, threshold: float, common: str = "all", limit: int = COMMON) -> DataFrame:
-    """(token, node, batch, size, rank, s0, s1) of the prefixes of (node, batch, codes).
+def bitmaps(codes: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+    """256 bits of every non-empty set: each the parity of the number of elements that fall on it."""
+    bit = mixed(codes.view(np.uint32).astype(np.uint64)) & np.uint64(255)
+    one = np.uint64(1) << (bit & np.uint64(63))
+    word = bit >> np.uint64(6)
+    return [np.bitwise_xor.reduceat(np.where(word == w, one, np.uint64(0)), offsets[:-1]) for w in range(4)]
 
-    With `thinned`, the postings of a common token are those of about `limit` texts, chosen by their hash; with `only`,
-    just the common tokens are given, with all their postings. `limit` says what is common.
-    """
+
+def postings(sets: DataFrame, counts: np.ndarray, threshold: float, limit: int, parts: int) -> DataFrame:
+    """The postings of the prefixes of (node, codes), with `part` (of the token) and `common`: 0 for a token of at most
+    `limit` occurrences in the history, 1 for one of the about `limit` texts (chosen by their hash) with which a common
+    token is met first, 2 for the others of a common token."""
     shared = sets.sparkSession.sparkContext.broadcast(counts.astype(np.int32))
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            lists = batch.column(2)
+            lists = batch.column(1)
             offsets = lists.offsets.to_numpy().astype(np.int64)
             codes = lists.values.to_numpy()[offsets[0] : offsets[-1]]
             offsets = offsets - offsets[0]
             n = np.diff(offsets)
             row = np.repeat(np.arange(len(n)), n)
-            order = np.lexsort((codes, shared.value[_bucket(codes)], row))
+            bucket = _bucket(codes)
+            order = np.lexsort((codes, shared.value[bucket], row))
             rank = np.arange(len(codes)) - offsets[:-1][row]
             keep = rank < (n - np.ceil(threshold * n - 1e-9).astype(np.int64) + 1)[row]
-            if common != "all":
-                held = shared.value[_bucket(codes[order])]
-                if common == "only":
-                    keep &= held > limit
-                else:
-                    share = np.maximum(1, held // limit).astype(np.uint64)
-                    keep &= (held <= limit) | (mixed(batch.column(0).to_numpy().view(np.uint64))[row] % share == 0)
+            held = shared.value[bucket[order][keep]]
             row, rank, token = row[keep], rank[keep], codes[order][keep]
-            s0, s1 = sketches(signatures(codes.view(np.uint32), offsets))
+            share = np.maximum(1, held // limit).astype(np.uint64)
+            first = mixed(batch.column(0).to_numpy().view(np.uint64))[row] % share == 0
+            common = np.where(held <= limit, 0, np.where(first, 1, 2)).astype(np.int8)
+            place = (mixed(token.view(np.uint32).astype(np.uint64)) % np.uint64(parts)).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(token), batch.column(0).take(pa.array(row)), batch.column(1).take(pa.array(row)),
-                    pa.array(n[row].astype(np.int32)), pa.array(rank.astype(np.int32)), _long(s0[row]), _long(s1[row]),
+                    pa.array(token), batch.column(0).take(pa.array(row)), pa.array(n[row].astype(np.int32)), pa.array(rank.astype(np.int32)),
+                    *[_long(b[row]) for b in bitmaps(codes, offsets)], pa.array(common), pa.array(place),
                 ],
-                ["token", "node", "batch", "size", "rank", "s0", "s1"],
+                ["token", "node", "size", "rank", *_BITS, "common", "part"],
             )
 
-    return sets.select("node", "batch", "codes").mapInArrow(make, "token int, node long, batch int, size int, rank int, s0 long, s1 long")
+    return sets.select("node", "codes").mapInArrow(make, f"{_POSTING}, common tinyint, part int")
 
 
 def probe(index: DataFrame, batch: DataFrame, threshold: float) -> DataFrame:
-    """(a, b, batch_a, batch_b): texts a of the batch postings that may be similar to texts b of earlier batches."""
+    """(a, b): texts a of the batch's postings that may be similar to texts b of the index."""
     a, b = batch.alias("_a"), index.alias("_b")
     col = lambda side, c: F.col(f"{side}.{c}")
     both = col("_a", "size") + col("_b", "size")
     least = F.least(col("_a", "size") - col("_a", "rank"), col("_b", "size") - col("_b", "rank"))
+    differ = functools.reduce(lambda x, y: x + y, [F.bit_count(col("_a", c).bitwiseXOR(col("_b", c))) for c in _BITS])
     possible = (
         (col("_a", "token") == col("_b", "token"))
-        & (col("_b", "batch") < col("_a", "batch"))
         & (least * (1 + threshold) + 1e-9 >= both * threshold)
         & (F.least(col("_a", "size"), col("_b", "size")) >= F.greatest(col("_a", "size"), col("_b", "size")) * threshold)
-        & codes_near((col("_a", "s0"), col("_b", "s0")), (col("_a", "s1"), col("_b", "s1")))
+        & (differ * (1 + threshold) <= both * (1 - threshold) + 1e-9)
     )
-    return a.join(b, possible).select(
-        col("_a", "node").alias("a"), col("_b", "node").alias("b"), col("_a", "batch").alias("batch_a"), col("_b", "batch").alias("batch_b")
-    ).distinct()
+    return b.join(a, possible).select(col("_a", "node").alias("a"), col("_b", "node").alias("b")).distinct()
 
 
 def one_per_text(sets: DataFrame) -> DataFrame:
-    """One of the rows of every node and batch: the one of least uid. Only texts with copies are listed for this."""
-    repeated = sets.groupBy("node", "batch").agg(F.min("uid").alias("_first"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
+    """One of the rows of every node: the one of least uid. Only texts with copies are listed for this."""
+    repeated = sets.groupBy("node").agg(F.min("uid").alias("_first"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
     repeated = checkpointed(repeated)
     repeated = F.broadcast(repeated) if repeated.count() <= BROADCAST_NODES else repeated
-    return sets.join(repeated, ["node", "batch"], "left").where("_first IS NULL OR uid = _first").drop("_first")
+    return sets.join(repeated, "node", "left").where("_first IS NULL OR uid = _first").drop("_first")
+
+
+@dataclass
+class Staged:
+    """A batch before its verdict: `sets` (key, node, codes), `postings` of its texts, and in how many parts of the index
+    and with how many postings it will probe."""
+
+    number: int
+    sets: DataFrame
+    postings: DataFrame
+    parts: list[int]
+    rows: int
+    common: int
 
 
 class PrefixIndex:
     """The index of all accepted texts in a folder of the shared file system.
 
-    `sets` holds (node, batch, codes) and `postings` the prefixes, divided by token into `parts` folders, so a probe
-    reads a posting once and only its own columns. Both only grow: append() adds files and never rewrites any.
+    `sets/batch=` holds (node, codes) of each batch and `postings/batch=/rest=/part=` the prefixes, divided by token into
+    `parts` folders: a probe reads the folders of its own tokens. The index only grows, and a batch that is appended again
+    (after a failure) replaces its own files and nothing else, since they are named by its number.
+
+    A token in more than `limit` texts of the history (members of one large group of edited copies) first meets only about
+    that many of its texts; the others are in `rest=1`, which only texts without a partner go on to read. So a common token
+    makes no task longer than a rare one in the first pass, and no posting is left out. Batches of up to
+    BROADCAST_POSTINGS are broadcast, so the index is not moved at all; larger ones are joined by a shuffle, whose skewed
+    tokens adaptive execution divides.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, threshold: float = 0.5, width: int = 3, parts: int = 64):
+    def __init__(self, spark: SparkSession, folder: str, threshold: float = 0.5, width: int = 3, parts: int = 16):
         self.spark, self.folder, self.threshold, self.width, self.parts = spark, folder, threshold, width, parts
 
     @functools.cached_property
-    def counts(self) -> np.ndarray:
-        rows = self.spark.read.parquet(f"{self.folder}/order").toArrow()
-        out = np.zeros(1 << BUCKET_BITS, np.int64)
-        out[rows.column("bucket").to_numpy()] = rows.column("n").to_numpy()
-        return out
-
-    def start(self, history: DataFrame, key: str, text: Column) -> None:
-        """Fixes the order of tokens from the history and adds it as batch 0."""
-        sets = stored(shingled(history, key, text, self.width), "history")
+    def _order(self) -> tuple[np.ndarray, int]:
+        rows = self.spark.read.schema("bucket long, n long").parquet(f"{self.folder}/order").toArrow()
+        out, texts = np.zeros(1 << BUCKET_BITS, np.int64), 0
+        for k, n in zip(rows.column("bucket").to_pylist(), rows.column("n").to_pylist(), strict=True):
+            if k < 0:
+                texts = n
+            else:
+                out[k] = n
+        return out, max(COMMON, texts // COMMON_SHARE)
+
+    def start(self, history: DataFrame, text: Column) -> None:
+        """Fixes the order of tokens from the history and adds its texts as batch 0. Equal texts are one."""
+        sets = shingled(history.select(text.alias("_t")).withColumn("key", F.lit(0)), "key", F.col("_t"), self.width)
+        sets = stored(sets.select("node", "codes", F.monotonically_increasing_id().alias("uid")), "history")
+        texts = one_per_text(sets).select("node", "codes")
         counts = token_counts(sets)
         used = np.flatnonzero(counts)
-        order = pa.table({"bucket": used, "n": counts[used]})
-        self.spark.createDataFrame(order).coalesce(1).write.parquet(f"{self.folder}/order")
-        self.append(sets.withColumn("batch", F.lit(0)))
-
-    def append(self, sets: DataFrame) -> None:
-        """Adds (node, batch, codes) of texts that were accepted; equal texts of a batch are added once."""
-        sets = sets.select("node", "batch", "codes").dropDuplicates(["node", "batch"])
-        sets.write.mode("append").option("compression", "zstd").parquet(f"{self.folder}/sets")
-        rows = postings(sets, self.counts, self.threshold).withColumn("part", F.pmod("token", F.lit(self.parts)))
-        rows.repartition("part").write.mode("append").partitionBy("part").option("compression", "zstd").parquet(f"{self.folder}/postings")
-
-    def similar(self, batch: DataFrame, key: str, text: Column, number: int) -> tuple[DataFrame, DataFrame]:
-        """(key, node, batch_b) of the batch's records and the earlier texts they are similar to, and the batch's sets
-        (key, node, batch, codes) for append()."""
-        new = stored(shingled(batch, key, text, self.width).withColumn("batch", F.lit(number)), "batch")
-        index = self.spark.read.parquet(f"{self.folder}/postings").drop("part")
-        pairs = probe(index, postings(new, self.counts, self.threshold), self.threshold)
-        known = self.spark.read.parquet(f"{self.folder}/sets").select("node", "codes")
-        links = verified(checkpointed(pairs.select("a", "b").distinct()), known.union(new.select("node", "codes")), self.threshold)
-        found = links.join(pairs, ["a", "b"]).select(F.col("a").alias("_a"), F.col("b").alias("node"), "batch_b")
-        return new.select("key", F.col("node").alias("_a")).join(found, "_a").select("key", "node", "batch_b").distinct(), new
+        order = pa.table({"bucket": np.append(used, -1), "n": np.append(counts[used], sets.count())})
+        self.spark.createDataFrame(order).coalesce(1).write.mode("overwrite").parquet(f"{self.folder}/order")
+        self._write(texts, self._postings(texts), 0)
+
+    def _postings(self, texts: DataFrame) -> DataFrame:
+        counts, limit = self._order
+        return postings(texts, counts, self.threshold, limit, self.parts)
+
+    def _write(self, texts: DataFrame, rows: DataFrame, number: int) -> None:
+        texts.write.mode("overwrite").option("compression", "zstd").parquet(f"{self.folder}/sets/batch={number}")
+        rows = rows.withColumn("rest", (F.col("common") == 2).cast("int")).drop("common").sortWithinPartitions("rest", "part", "token")
+        # every task writes its own files of each part: nothing is shuffled, whatever the size of a part or a token
+        writer = rows.write.mode("overwrite").partitionBy("rest", "part").option("compression", "zstd")
+        writer.parquet(f"{self.folder}/postings/batch={number}")
+
+    def stage(self, batch: DataFrame, key: str, text: Column, number: int) -> Staged:
+        """The batch's texts and postings, computed once for the probe and for append()."""
+        sets = stored(shingled(batch, key, text, self.width), "batch")
+        rows = stored(self._postings(sets.groupBy("node").agg(F.first("codes").alias("codes"))), "postings")
+        hit = rows.groupBy("part").agg(F.count("*").alias("n"), F.count_if(F.col("common") > 0).alias("c")).collect()  # a row per part
+        return Staged(number, sets.select("key", "node", "codes"), rows, sorted(r.part for r in hit), sum(r.n for r in hit), sum(r.c for r in hit))
+
+    def postings_read(self, staged: Staged, rest: int) -> DataFrame:
+        """The postings of earlier batches in the parts that the batch's tokens fall on."""
+        rows = self.spark.read.schema(f"{_POSTING}, batch int, rest int, part int").parquet(f"{self.folder}/postings")
+        return rows.where((F.col("batch") < staged.number) & (F.col("rest") == rest) & F.col("part").isin(staged.parts))
+
+    def similar(self, staged: Staged) -> DataFrame:
+        """(node): the batch's texts that are similar to a text of an earlier batch in the index."""
+        found = self._linked(staged, staged.postings, 0)
+        if staged.common:
+            left = staged.postings.where("common > 0").join(found, "node", "left_anti")
+            found = checkpointed(found.union(self._linked(staged, left, 1)))
+        return found
+
+    def _linked(self, staged: Staged, rows: DataFrame, rest: int) -> DataFrame:
+        rows = rows.drop("common", "part")
+        small = F.broadcast(rows) if staged.rows <= BROADCAST_POSTINGS else rows
+        pairs = checkpointed(probe(self.postings_read(staged, rest), small, self.threshold))
+        known = self.spark.read.schema("node long, codes array<int>, batch int").parquet(f"{self.folder}/sets").where(F.col("batch") < staged.number)
+        links = verified(pairs, known.select("node", "codes").union(staged.sets.select("node", "codes")), self.threshold)
+        return checkpointed(links.select(F.col("a").alias("node")).distinct())
+
+    def append(self, staged: Staged, accepted: DataFrame) -> None:
+        """Adds the texts of those of the batch's records whose key is in `accepted` (key)."""
+        kept = staged.sets.join(accepted, "key", "left_semi").select("node").distinct()
+        texts = staged.sets.join(kept, "node", "left_semi").groupBy("node").agg(F.first("codes").alias("codes"))
+        self._write(texts, staged.postings.join(kept, "node", "left_semi"), staged.number)
 
 
 def repeated_records(
     accepted: DataFrame, incoming: DataFrame, digests: DataFrame, *, text: str = "summary", key: str = "id",
-    digest: str = "content_hash", batch: str = "batch_no", threshold: float = 0.5, width: int = 3,
+    digest: str = "content_hash", batch: str = "batch_no", threshold: float = 0.5, width: int = 3, index: PrefixIndex | None = None,
 ) -> DataFrame:
     """(key): the incoming records that repeat accepted content, by digest or by similarity of `text`.
 
@@ -186,57 +248,32 @@ def repeated_records(
     sent twice is one record; a null key names no record; a null batch counts as
     batch 1. Empty tables on any side give what the others imply.
 
-    All pending batches probe the index in one pass, each posting only against earlier batches; the verdicts are then
-    drawn batch by batch from the few verified links. Equal texts of a batch are one posting list. A token that more
-    than one in a hundred texts may share (members of one large group of edited copies) first meets only about that many of them,
-    which settles the group's members; texts still without an accepted partner then meet all of its postings.
+    The accepted texts start the index (one that is given and already started is taken as it is); each batch in turn then
+    probes it, and its records that are no cases are appended, so that later batches meet them. Per batch, only the
+    postings of its own tokens are read.
     """
     spark = incoming.sparkSession
     rows = incoming.select(F.col(key).alias("key"), F.coalesce(F.col(batch).cast("int"), F.lit(1)).alias("batch"), plain_digest(F.col(digest)).alias("digest"), F.col(text).alias("text")).where("key IS NOT NULL")
-    record = F.struct(F.col("key"), F.col("batch"))
-    old = shingled(accepted.select(F.struct(F.lit(None).cast("string").alias("key"), F.lit(0).alias("batch")).alias("r"), F.col(text).alias("text")), "r", F.col("text"), width)
-    new = shingled(rows.select(record.alias("r"), "text"), "r", F.col("text"), width)
-    sets = old.select("key", "node", "codes").union(new.select("key", "node", "codes"))
-    sets = stored(sets.select("key.key", "key.batch", "node", "codes", F.monotonically_increasing_id().alias("uid")), "texts")
-    texts = one_per_text(sets).select("node", "batch", "codes")
-    counts = token_counts(texts)
-    limit = max(COMMON, sets.count() // COMMON_SHARE)
+    if index is None:
+        index = PrefixIndex(spark, owned(f"{shared_dir(spark)}/index-{uuid.uuid4().hex}"), threshold, width)
+        index.start(accepted, F.col(text))
     known = digests.select(plain_digest(F.col(digest)).alias("digest")).where("digest IS NOT NULL").distinct()
-    hashed = rows.where("digest IS NOT NULL").select("key", "batch", "digest").distinct()
-    sure_hash = checkpointed(hashed.join(known, "digest", "left_semi").select("key"))
-
-    def linked(index: DataFrame, probes: DataFrame) -> DataFrame:
-        pairs = checkpointed(probe(index, probes, threshold))
-        found = verified(checkpointed(pairs.select("a", "b").distinct()), texts.select("node", "codes"), threshold)
-        return checkpointed(pairs.join(found, ["a", "b"]))
-
-    new_texts = texts.where("batch > 0")
-    links = linked(postings(texts, counts, threshold, "thinned", limit), postings(new_texts, counts, threshold))
-    if postings(new_texts, counts, threshold, "only", limit).limit(1).count():
-        # texts that a thinned token might have failed: those with no accepted partner yet meet all of its postings
-        settled = links.where("batch_b = 0").select(F.col("a").alias("node"), F.col("batch_a").alias("batch")).distinct()
-        left = new_texts.join(settled, ["node", "batch"], "left_anti").select("node", "batch", "codes")
-        links = links.union(linked(postings(texts, counts, threshold, "only", limit), postings(left, counts, threshold, "only", limit))).distinct()
-    named = sets.where("batch > 0").select("key", "batch", "node").distinct()
-    # what a record agrees with: an accepted text (batch 0) or an earlier record
-    first = named.join(links, (F.col("node") == F.col("a")) & (F.col("batch") == F.col("batch_a")))
-    alike = first.select("key", "batch", F.col("b").alias("_node"), F.col("batch_b").alias("_batch"))
-    sure = alike.where("_batch = 0").select("key")
-    sure = checkpointed(sure.union(sure_hash.select("key")).distinct())
-    # a text or digest of an earlier batch counts while one of its records is no case: it stands for all its records
-    left_hash = checkpointed(hashed.join(sure, "key", "left_anti"))
-    left_text = checkpointed(named.join(sure, "key", "left_anti"))
-    left_alike = checkpointed(alike.where("_batch > 0").join(sure, "key", "left_anti"))
-    cases = sure
-    batches = rows.select("batch").distinct().orderBy("batch").collect()  # one row per pending batch
-    for row in batches[1:]:
-        fresh = lambda t: t.where(F.col("batch") < row.batch).join(cases, "key", "left_anti")  # noqa: B023, E731
-        texts_then = fresh(left_text).select(F.col("node").alias("_node"), F.col("batch").alias("_batch")).distinct()
-        hashes_then = fresh(left_hash).select("digest").distinct()
-        here = F.col("batch") == row.batch
-        more = left_alike.where(here).join(texts_then, ["_node", "_batch"], "left_semi").select("key")
-        more = more.union(left_hash.where(here).join(hashes_then, "digest", "left_semi").select("key"))
-        cases = checkpointed(cases.union(more).distinct())
+    known = checkpointed(known.join(rows.select("digest"), "digest", "left_semi"))  # those that any batch asks for
+    cases: DataFrame | None = None
+    # one row per pending batch; their numbers only order them, and the history is batch 0
+    for number, row in enumerate(rows.select("batch").distinct().orderBy("batch").collect(), 1):
+        own = rows.where(F.col("batch") == row.batch)
+        staged = index.stage(own, "key", F.col("text"), number)
+        found = index.similar(staged)
+        hashed = own.select("key", "digest").where("digest IS NOT NULL")
+        new = staged.sets.join(found, "node", "left_semi").select("key").union(hashed.join(known, "digest", "left_semi").select("key")).distinct()
+        new = checkpointed(new if cases is None else new.join(cases, "key", "left_anti"))
+        cases = new if cases is None else cases.union(new)
+        fresh = own.select("key").distinct().join(cases, "key", "left_anti")
+        index.append(staged, fresh)
+        known = checkpointed(known.union(hashed.join(cases, "key", "left_anti").select("digest")).distinct())
+    if cases is None:
+        return rows.select("key").toDF(key)
     return cases.select(F.col("key").alias(key))
 
 

@@ -3,6 +3,7 @@
 import random
 import uuid
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from loamstone.llm import incremental
@@ -68,16 +69,57 @@ def test_empty_sides(spark):
 
 def test_index_grows(spark):
     rng = random.Random(9)
-    texts = [" ".join(rng.choice(WORDS) for _ in range(50)) for _ in range(30)]
-    history = spark.createDataFrame([(f"h{i}", t) for i, t in enumerate(texts)], "id string, t string")
-    index = incremental.open_index(spark, f"index-{uuid.uuid4().hex}", parts=4)
-    index.start(history, "id", F.col("t"))
-    first = [("a", texts[3] + " extra"), ("b", " ".join(rng.choice(WORDS) for _ in range(50)))]
-    found, sets = index.similar(spark.createDataFrame(first, "id string, t string"), "id", F.col("t"), 1)
-    assert [(r.key, r.batch_b) for r in found.collect()] == [("a", 0)]
-    index.append(sets.join(found.select("key"), "key", "left_anti"))
-    found, _ = index.similar(spark.createDataFrame([("c", first[1][1] + " more words"), ("d", "nothing like it at all")], "id string, t string"), "id", F.col("t"), 2)
-    assert [(r.key, r.batch_b) for r in found.collect()] == [("c", 1)]
+    fresh = lambda: " ".join(rng.choice(WORDS) for _ in range(50))
+    texts = [fresh() for _ in range(30)]
+    history = spark.createDataFrame([(t,) for t in texts], "t string")
+    index = incremental.open_index(spark, f"index-{uuid.uuid4().hex}", parts=64)
+    index.start(history, F.col("t"))
+    first = [("a", texts[3] + " extra"), ("b", fresh())]
+    batch = spark.createDataFrame(first, "id string, t string")
+    staged = index.stage(batch, "id", F.col("t"), 1)
+    found = index.similar(staged)
+    hit = staged.sets.join(found, "node", "left_semi").select("key")
+    assert [r.key for r in hit.collect()] == ["a"]
+    index.append(staged, batch.select(F.col("id").alias("key")).join(hit, "key", "left_anti"))
+    size = lambda: spark.read.parquet(f"{index.folder}/postings").count()
+    before = size()
+    # a batch that is appended again replaces itself
+    index.append(staged, batch.select(F.col("id").alias("key")).join(hit, "key", "left_anti"))
+    assert size() == before
+    small = spark.createDataFrame([("d", "nothing like it at all")], "id string, t string")
+    later = index.stage(small.union(spark.createDataFrame([("c", first[1][1] + " more words")], "id string, t string")), "id", F.col("t"), 2)
+    assert [r.key for r in later.sets.join(index.similar(later), "node", "left_semi").collect()] == ["c"]
+    # only the folders of the batch's tokens are read
+    few = index.stage(small, "id", F.col("t"), 3)
+    read = {r[0].split("part=")[1].split("/")[0] for r in index.postings_read(few, 0).select(F.input_file_name()).distinct().collect()}
+    assert len(few.parts) <= 3 and read <= {str(p) for p in few.parts}
+    filters = next(x for x in index.postings_read(few, 0)._jdf.queryExecution().executedPlan().toString().split("\n") if "PartitionFilters" in x)
+    assert "part#" in filters.split("PartitionFilters")[1]
+
+
+def test_bounds_lose_no_pair():
+    """Every similar pair passes the bound of the bitmaps."""
+    rng = np.random.default_rng(4)
+    for _ in range(300):
+        n = int(rng.integers(1, 200))
+        a = rng.integers(0, 2**31, n).astype(np.int32)
+        b = np.unique(np.concatenate([a[: rng.integers(0, n + 1)], rng.integers(0, 2**31, rng.integers(0, n + 1)).astype(np.int32)]))
+        a = np.unique(a)
+        if not len(b):
+            continue
+        apart = sum(int(np.bitwise_count(x[0] ^ x[1])) for x in incremental.bitmaps(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)])))
+        assert apart <= len(np.setxor1d(a, b))
+
+
+def test_shuffled_probe(spark, monkeypatch):
+    """A batch beyond the limit of the broadcast gives the same cases."""
+    monkeypatch.setattr(incremental, "BROADCAST_POSTINGS", 10)
+    accepted, digests, incoming = data(7)
+    want = walk(accepted, digests, [(b, i, None if h == incremental.EMPTY_SHA256 else h, t) for b, i, h, t in incoming])
+    a = spark.createDataFrame([(t,) for t in accepted], "summary string")
+    d = spark.createDataFrame([(h,) for h in digests], "content_hash string")
+    new = spark.createDataFrame(incoming, "batch_no int, id string, content_hash string, summary string")
+    assert {r.id for r in incremental.repeated_records(a, new, d).collect()} == want
 
 
 def test_common_tokens(spark, monkeypatch):
