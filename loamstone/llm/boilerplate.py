@@ -1,14 +1,15 @@
 """Main text of web pages by a tree-structured graphical model of their lines.
 
-The lines of a page form a tree: a line hangs on the heading it stands under, a teaser's sentence on the teaser's title, a
-title on the title before it, anything else on the line before it. Every line is article or boilerplate. Its own words
-and shape give the odds of either (a logistic model); every parent-child pair has a potential that depends on the shapes
-of both. Sum-product messages, once upward and once downward, give each line's exact marginal, and a line is boilerplate
-if that is more probable than not.
-
-Both parts are trained from labelled pages: by default pages that a list of well-known phrases and list shapes labels
-(`labelled`), at most `train_pages` of them, a bounded sample that is the same on every run. The model is a few thousand
-numbers, whatever the corpus; pages are then worked through one by one within their partitions, with no shuffle.
+The lines of a page form a tree: a teaser's sentence hangs on the teaser's title, a title on the title before it, anything
+else on the line before it. Every line is article or boilerplate. Its own words, shape and place give the odds of either (a
+logistic model); every parent-child pair has a potential that depends on the shapes of both. Sum-product messages, once
+upward and once downward, give each line's exact marginal, and a line is boilerplate if that is more probable than not.
+There are no phrases in the model but the words it has learned weights for.
+
+Both parts are trained from labelled pages, at most `train_pages` of them, a bounded sample that is the same on every run;
+by default the rules of page_labels.py label them, which take no part in judging. The model is a few thousand numbers,
+whatever the corpus; pages are then worked through one by one within their partitions, with no shuffle. A page whose words
+the training pages hardly hold (another language) is judged by a second set of weights, fitted without words.
 """
 
 from __future__ import annotations
@@ -25,71 +26,15 @@ from pyspark.sql import functions as F
 
 from loamstone.session import spread
 
-#: Phrases of page furniture, in English, German, French and Spanish.
-FURNITURE = [
-    "cookie", "trackers", "small text files", "small files on your device", "analytics identifiers", "privacy matters", "process device information",
-    "traceurs", "dépôt de fichiers", "speicherung für", "almacenamiento durante", "accept all", "ok to all", "reject optional", "essential only", "allow all", "manage settings",
-    "alle akzeptieren", "tout accepter", "tout refuser", "aceptar todo", "rechazar", "skip to main content", "skip to content", "back to top", "return to start", "nach oben", "haut de ",
-    "volver arriba", "terms of use", "privacy terms", "modern slavery", "impressum", "datenschutz", "mentions légales", "données personnelles", "aviso legal", "privacidad",
-    "all rights reserved", "alle rechte vorbehalten", "tous droits réservés", "todos los derechos", "copyright", "©", "powered by", "site by", "registered office", "company number",
-    "call centre", "calls may be recorded", "ohne gewähr", "accepts no liability", "do not constitute advice", "haftet nicht", "décline toute responsabilité", "no se hace responsable",
-    "select language", "sprache wählen", "choisir la langue", "you are here", "sie sind hier", "vous êtes ici", "está aquí", "read more", "follow us", "stay in touch", "newsletter", "weekly letter", "monthly digest", "morning note",
-    "never miss", "enter your address", "our briefing", "abonnieren", "abonnez-vous", "suscríbase", "get alerts", "sign up for", "log in or", "free articles left", "views left", "reads left",
-    "download our app", "rate this", "was this", "diese seite hilfreich", "hilfreich? ja nein", "page vous a", "vous a-t-elle été utile", "le ha sido útil", "leave a reply", "comments are closed", "will not be published",
-    "reading time", "est. read", "text size", "lesezeit", "temps de lecture", "tiempo de lectura", "share this", "share on", "send this", "forward on", "forward this", "pass on", "copy link", "seite teilen", "partager", "compartir", "imprimir", "drucken merken",
-    "advert", "promoted content", "sponsored", "continue reading below", "anzeige", "werbung", "publicité", "publicidad", "patrocinado", "session will time out", "javascript is", "report a problem", "previous next", "next page", "next article", "next entry", "next document", "página siguiente", "nächste seite", "page suivante",
-    "put your name down", "join in for", "register for the", "professionals who start", "you permit the storing", "you consent to the storing", "you agree to the storing",
-]
-#: Whole lines of page furniture.
-LINES = {"top", "share", "print", "ad", "teilen", "drucken", "oben", "haut", "arriba"}
-#: Phrases of articles that would otherwise read like furniture.
-ARTICLE = ["record consent to cookies"]
-#: First words of search boxes.
-SEARCH = ("search ", "suche ", "rechercher ", "buscar ")
-#: Headings over lists of other pages.
-TEASERS = [
-    "elsewhere on this site", "most read", "trending now", "related articles", "you may also like", "latest from the blog", "more on this topic", "related", "see also", "read next", "recommended",
-    "mehr zum thema", "das könnte sie auch interessieren", "meistgelesen", "weitere artikel", "à lire aussi", "les plus lus", "sur le même sujet", "artículos relacionados", "lo más leído", "también le puede interesar", "promoted content",
-]
-#: Entries of menus.
-MENU = {
-    w for w in """home|about us|about|contact|help|faq|search|news|newsroom|press room|press|media gallery|multimedia|videos|podcasts|blog|events|calendar|careers|procurement|publications|research|working papers|statistics|data portal|markets|banknotes|payments|supervision|regulation|legal framework|speeches|archive|glossary|education|annual report|investor relations|topics|site map|sitemap|subscribe|register|log in|login|my account|privacy|terms|cookies|accessibility
-startseite|über uns|kontakt|hilfe|suche|presse|veröffentlichungen|forschung|statistik|märkte|bargeld|zahlungsverkehr|aufsicht|reden|termine|archiv|glossar|bildung|karriere|impressum|mediathek|themen
-accueil|qui sommes-nous|nous contacter|presse|publications|recherche|statistiques|marchés|paiements|supervision|discours|agenda|carrières|plan du site
-inicio|quiénes somos|contacto|prensa|publicaciones|estudios|estadísticas|mercados|pagos|supervisión|discursos|agenda|empleo|mapa web|mapa del sitio""".replace("\n", "|").split("|")
-}
-#: Words that also head sections of articles, and do not make a menu alone.
-_PLAIN = {"data", "statistics", "research", "publications", "topics", "regulation", "supervision", "markets", "payments"}
-
 _HEADER = re.compile(r"^(?:[A-Z][A-Z_-]{1,30}|[a-z][a-z_-]{1,30}):(?:\s|$)")
 _WORD = re.compile(r"[^\W\d_]+|\d+")
 _END = re.compile(r"[.!?。](?:[\"”»)\]]*)$")
 _STOPS = re.compile(r"[^\W\d_]{2}[.!?][\"”»]?\s+[\"“«]?[A-ZÀ-Þ]|[%\d][.!?]\s+[A-ZÀ-Þ]")
-_TRAIL = re.compile(r"[^\w.!?。\"”»)\]:;,*%|-]+$")
 _DIGIT = re.compile(r"\d")
-_DIGITS = re.compile(r"\d+")
-_COUNTER = re.compile(r"^\d+ (?:shares?|comments?|likes?|views?|reads?|replies|reactions?|kommentare?|mal geteilt|partages?|commentaires?|vues?|comentarios?|vistas|veces compartido)$")
 _NUMBERED = re.compile(r"^\d{1,2}[.)]\s")
 _SPLIT = re.compile(r"\s+[|·/>•–]\s+|\s{2,}|\s*[|•]\s*")
 
 
-def _phrases():
-    """Counts the furniture phrases in a text."""
-    try:
-        import ahocorasick
-    except ImportError:
-        found = re.compile("|".join(map(re.escape, FURNITURE)))
-        return lambda text: len(found.findall(text)) - 2 * sum(x in text for x in ARTICLE)
-    found = ahocorasick.Automaton()
-    for x in FURNITURE:
-        found.add_word(x, len(x))
-    found.make_automaton()
-    return lambda text: sum(1 for _ in found.iter(text)) - 2 * sum(x in text for x in ARTICLE)
-
-
-phrases = _phrases()
-
-
 def parts_of(content: str) -> tuple[str, str, list[tuple[int, str, bool]]]:
     """(site, title, lines) of a content: lines are (number from 1, text, whether a blank line stands before it),
     without header lines and blank lines."""
@@ -117,7 +62,11 @@ def parts_of(content: str) -> tuple[str, str, list[tuple[int, str, bool]]]:
 
 def kind_of(text: str, n: int) -> str:
     """The shape of a line."""
-    text = text[:-40] + _TRAIL.sub("", text[-40:]) or text
+    if not (text[-1].isalnum() or text[-1] in ".!?"):
+        end = len(text)
+        while end and not (text[end - 1].isalnum() or text[end - 1] in "_.!?。\"”»)]:;,*%|-"):
+            end -= 1
+        text = text[:end] or text
     if "\t" in text:
         return "table"
     if not any(c.isalpha() for c in text):
@@ -128,10 +77,8 @@ def kind_of(text: str, n: int) -> str:
         return "numbered"
     if text[:2] in ("- ", "* ", "• "):
         return "dash"
-    if text.lower().endswith(("read more", "weiterlesen", "lire la suite", "leer más")):
-        return "more"
     if _END.search(text):
-        return "para" if len(_STOPS.findall(text)) else "sent"
+        return "para" if n >= 10 and _STOPS.search(text) else "sent"
     if n >= 3 and len(_SPLIT.split(text)) >= 3:
         return "split"
     return "head" if n <= 3 else "title" if n <= 18 else "long"
@@ -158,46 +105,12 @@ def tree_of(kinds: list[str]) -> tuple[list[int], list[str]]:
     return parent, edge
 
 
-def features_of(text: str, low: str, kind: str, words: list[str], title: str, site: str, place: list[str]) -> list[str]:
-    """Names of the line's features, without the weights of its words."""
-    n = len(words)
-    last, first = text[-1], text[0]
-    out = [
-        "k:" + kind, f"n:{kind}:{n if n < 13 else min(n // 10, 9) * 10}", "e:" + ("x" if last.isalnum() else last), "s:" + ("x" if first.isalnum() else first),
-        *[f"{p}:{kind}" for p in place],
-    ]
-    if n <= 40:
-        caps = sum([w[0].isupper() for w in words])
-        out.append(f"c:{kind}:{min(4, 4 * caps // max(1, n))}")
-        if text.isupper():
-            out.append("upper:" + kind)
-    if title:
-        if low.startswith(title) and len(low) < len(title) + 12:
-            out.append("is-title")
-        elif title in low:
-            out.append("has-title:" + kind)
-    if site and site in low:
-        out.append("site:" + kind)
-    if _DIGIT.search(text):
-        out.append("digits:" + kind)
-    return out
-
-
-def known_kind(low: str, kind: str) -> str:
-    """The shape for the tree: lines with a well-known phrase and teaser headings are shapes of their own."""
-    if low in TEASERS:
-        return "teaser"
-    if kind not in ("item", "numbered", "more") and phrases(low) >= (1 if len(low) < 260 else 2) or low.startswith(SEARCH) or _COUNTER.match(low) or low in LINES:
-        return "known"
-    return kind
-
-
 def page_features(site: str, title: str, lines: list[tuple[int, str, bool]]) -> tuple[list[str], list[list[str]], list[list[str]]]:
-    """(kinds, features, words) of a page's lines."""
+    """(kinds, features, words) of a page's lines: features are names of shape and place."""
+    count = len(lines)
     lows = [x.lower() for _, x, _ in lines]
-    words = [_WORD.findall(x) for _, x, _ in lines]
-    shapes = [kind_of(x, len(w)) for (_, x, _), w in zip(lines, words, strict=True)]
-    kinds = [known_kind(x, k) for x, k in zip(lows, shapes, strict=True)]
+    words = [_WORD.findall(x) for x in lows]
+    kinds = [kind_of(x, len(w)) for (_, x, _), w in zip(lines, words, strict=True)]
     body = [i for i, k in enumerate(kinds) if k == "para" or k == "sent" and len(words[i]) >= 10]
     title, site = title.lower(), site.lower()
     named = next((i for i, x in enumerate(lows) if title and x.startswith(title) and len(x) < len(title) + 12), None)
@@ -207,80 +120,53 @@ def page_features(site: str, title: str, lines: list[tuple[int, str, bool]]) ->
         if named is not None:
             title = lows[named]
     begin = named if named is not None else body[0] if body else 0
-    end = body[-1] if body else len(lines)
+    end = body[-1] if body else count
+    seen = Counter(lows)
+    # how many lines of one shape follow one another
+    run = [1] * count
+    for i in range(1, count):
+        if kinds[i] == kinds[i - 1]:
+            run[i] = run[i - 1] + 1
+    for i in range(count - 2, -1, -1):
+        if kinds[i] == kinds[i + 1]:
+            run[i] = run[i + 1]
     out = []
-    count = len(lines)
     for i, (_, text, gap) in enumerate(lines):
+        kind, low, n = kinds[i], lows[i], len(words[i])
         zone = "top" if i < begin else "title" if i == begin else "foot" if i > end else "mid"
-        place = ["z-" + zone, f"t{min(i, 4)}", f"b{min(count - 1 - i, 4)}", "gap" if gap else "nogap"]
-        own = features_of(text, lows[i], shapes[i], words[i], title, site, place)
-        own.append("shape:" + kinds[i])
-        if shapes[i] not in ("para", "sent", "table") and any([x.strip() in MENU for x in _SPLIT.split(lows[i])]):
-            own.append(f"menu:{kinds[i]}:{zone}")
-        if kinds[i] in ("head", "title", "long") and all([w in _MENU_WORDS for w in lows[i].split()]):
-            own.append("menu-words:" + kinds[i])
+        last, first = text[-1], text[0]
+        before, after = kinds[i - 1] if i else "", kinds[i + 1] if i + 1 < count else ""
+        own = [
+            "k:" + kind, f"n:{kind}:{n if n < 13 else min(n // 10, 9) * 10}", "e:" + ("x" if last.isalnum() else last), "s:" + ("x" if first.isalnum() else first),
+            f"z-{zone}:{kind}", f"t{min(i, 4)}:{kind}", f"b{min(count - 1 - i, 4)}:{kind}", f"{'gap' if gap else 'nogap'}:{kind}",
+            f"r:{kind}:{min(run[i], 6)}:{zone}", f"a:{before}>{kind}>{after}",
+        ]
+        caps = sum([x[0].isupper() for x in text.split()])
+        own.append(f"c:{kind}:{min(4, 4 * caps // max(1, n))}")
+        if text.isupper():
+            own.append("upper:" + kind)
+        if seen[low] > 1:
+            own.append("twice:" + kind)
+        if title:
+            if low.startswith(title) and len(low) < len(title) + 12:
+                own.append("is-title")
+            elif title in low:
+                own.append("has-title:" + kind)
+        if site and site in low:
+            own.append("site:" + kind)
+        if _DIGIT.search(text):
+            own.append("digits:" + kind)
         out.append(own)
-    return kinds, out, [_words(x) for x in lows]
-
-
-def _words(low: str) -> list[str]:
-    return _DIGITS.sub("0", low).split() if len(low) > 400 else ["0" if w.isdigit() else w for w in _WORD.findall(low)]
-
-
-def labelled(site: str, title: str, lines: list[tuple[int, str, bool]]) -> list[int]:
-    """1 for each line that the fixed phrases and list shapes call boilerplate, else 0: labels for training."""
-    words = [_WORD.findall(t.lower()) for _, t, _ in lines]
-    kinds = [kind_of(t, len(w)) for (_, t, _), w in zip(lines, words, strict=True)]
-    low = [t.lower() for _, t, _ in lines]
-    named = next((i for i, x in enumerate(low) if title and x.startswith(title.lower()) and len(x) < len(title) + 12), None)
-    first = next((i for i, k in enumerate(kinds) if k in ("para",) or k == "sent" and len(words[i]) >= 10 and phrases(low[i]) < 1), len(lines))
-    out = [0] * len(lines)
-    teaser = ""  # what the list under a teaser heading is made of
-    for i, (text, kind) in enumerate(zip(low, kinds, strict=True)):
-        entries = [x.strip() for x in _SPLIT.split(text) if x.strip()]
-        menu = sum(x in MENU for x in entries)
-        if text in TEASERS:
-            out[i], teaser = 1, "open"
-            continue
-        if i == named:
-            teaser = ""
-            continue
-        hits = phrases(text)
-        if hits > 1 or hits > 0 and len(text) < 260:
-            out[i] = 1
-            continue
-        if text.startswith(SEARCH) and len(words[i]) <= 6 or _COUNTER.match(text) or text in LINES:
-            out[i] = 1
-            continue
-        if menu * 2 >= len(entries) and (len(entries) > 1 or text not in _PLAIN or (out[i - 1] if i else 1) or i < (named or first)):
-            out[i] = 1
-            continue
-        tokens = {*text.replace("/", " ").split()}
-        if kind in ("title", "long") and len(tokens) >= 4 and all(w in _MENU_WORDS for w in tokens):
-            out[i] = 1
-            continue
-        if teaser:
-            if kind in ("item", "numbered", "more") and teaser in ("open", "list"):
-                out[i], teaser = 1, "list"
-                continue
-            if kind == "title" and teaser in ("open", "titles", "title", "sentence"):
-                out[i], teaser = 1, "titles" if teaser in ("titles", "title") else "title"
-                continue
-            # a list has a sentence under every title or under none
-            if kind == "sent" and teaser == "title" and text[0] not in "“\"«„":
-                out[i], teaser = 1, "sentence"
-                continue
-            teaser = ""
-        if kind in ("item", "more"):
-            out[i] = 1
-    return out
+    return kinds, out, [["0" if w.isdigit() else w for w in x] for x in words]
 
 
-_MENU_WORDS = {w for entry in MENU for w in entry.split()} | {"terms", "sitemap", "|", "·"}
+def _terms(words: list[str]) -> list[str]:
+    """The words of a line and its pairs of words."""
+    return [*words, *map(" ".join, zip(words, words[1:]))] if len(words) > 1 else words
 
 
-class PageModel:
-    """Weights of features and words, and potentials of edges."""
+class Weights:
+    """A bias, the weights of features and words, and the potentials of edges."""
 
     def __init__(self, bias: float, weights: dict[str, float], edges: dict[str, tuple[float, float, float, float]]):
         self.bias, self.edges = bias, edges
@@ -288,21 +174,10 @@ class PageModel:
         self.words = {x[2:]: w for x, w in weights.items() if x[:2] == "w:"}
 
     @classmethod
-    def train(cls, pages: list[str], *, least: int = 4, rounds: int = 150, ridge: float = 1e-4) -> PageModel:
-        """The model of the contents, each labelled by labelled()."""
-        rows, labels, pairs = [], [], []  # pairs: (row of the child, row of the parent, edge)
-        for content in pages:
-            site, title, lines = parts_of(content)
-            if not lines:
-                continue
-            kinds, names, words = page_features(site, title, lines)
-            base = len(rows)
-            rows += [(f, w) for f, w in zip(names, words, strict=True)]
-            labels += labelled(site, title, lines)
-            parents, edges = tree_of(kinds)
-            pairs += [(base + i, base + p, edges[i]) for i, p in enumerate(parents) if p >= 0]
-        rows = [(f, ["w:" + x for x in w]) for f, w in rows]
-        seen = Counter(x for f, w in rows for x in {*f, *w})
+    def fit(cls, rows: list[list[str]], terms: list[list[str]], labels: list[int], pairs: list[tuple[int, int, str]], *, least: int, rounds: int, ridge: float) -> Weights:
+        """By pseudo-likelihood; rows are feature names, terms words, pairs (row of the child, row of the parent, edge)."""
+        terms = [["w:" + x for x in t] for t in terms]
+        seen = Counter(x for f, t in zip(rows, terms, strict=True) for x in {*f, *t})
         common = {e for e, n in Counter(e for _, _, e in pairs).items() if n >= least}
         names = sorted(x for x, n in seen.items() if n >= least) + sorted(f"{e}|{a}{b}" for e in common for a in (0, 1) for b in (0, 1))
         number = {x: i for i, x in enumerate(names)}
@@ -314,13 +189,12 @@ class PageModel:
                 col.append(c)
                 val.append(value)
 
-        for r, (f, w) in enumerate(rows):
+        for r, (f, t) in enumerate(zip(rows, terms, strict=True)):
             for x in f:
                 put(r, x, 1.0)
-            scale = min(1.0, 8 / max(1, len(w)))
-            for x in w:
-                put(r, x, scale)
-        # pseudo-likelihood: given the states around it, a line's odds are linear in the potentials of its edges
+            for x in t:
+                put(r, x, _scale(len(t)))
+        # given the states around it, a line's odds are linear in the potentials of its edges
         for child, parent, e in pairs:
             put(child, f"{e}|{labels[parent]}1", 1.0)
             put(child, f"{e}|{labels[parent]}0", -1.0)
@@ -341,15 +215,14 @@ class PageModel:
         edges = {e: tuple(float(np.exp(weight[number[f"{e}|{s}"]])) for s in ("00", "01", "10", "11")) for e in common}
         return cls(float(bias), {x: float(weight[i]) for x, i in number.items() if "|" not in x and abs(weight[i]) > 1e-3}, edges)
 
-    def marginals(self, site: str, title: str, lines: list[tuple[int, str, bool]]) -> list[float]:
-        """The probability of boilerplate for each line."""
-        kinds, names, words = page_features(site, title, lines)
+    def odds(self, features: list[str], terms: list[str]) -> float:
+        """A line's own odds of being boilerplate, without its neighbours."""
         get, word = self.weights.get, self.words.get
-        own = []
-        for f, w in zip(names, words, strict=True):
-            z = self.bias + sum([get(x, 0.0) for x in f]) + min(1.0, 8 / max(1, len(w))) * sum([word(x, 0.0) for x in w])
-            own.append(math.exp(max(-30.0, min(30.0, z))))  # odds
-        parent, edge = tree_of(kinds)
+        z = self.bias + sum([get(x, 0.0) for x in features]) + _scale(len(terms)) * sum([word(x, 0.0) for x in terms])
+        return math.exp(max(-30.0, min(30.0, z)))
+
+    def marginals(self, own: list[float], parent: list[int], edge: list[str]) -> list[float]:
+        """The probability of boilerplate of each line of a tree, from its own odds and the messages of both directions."""
         n = len(own)
         psi = [self.edges.get(e, (1.0, 1.0, 1.0, 1.0)) for e in edge]
         up = [1.0] * n  # odds that a child's message gives its parent
@@ -368,7 +241,57 @@ class PageModel:
         return [o / (1 + o) for o in belief]
 
 
-def train_model(pages: DataFrame, content: str, *, train_pages: int = 1000) -> PageModel:
+def _scale(n: int) -> float:
+    """The weight of one of n terms: long lines do not count for more than short ones."""
+    return min(1.0, 16 / max(1, n))
+
+
+class PageModel:
+    """Weights with words, weights without, and the words of the training pages."""
+
+    #: Share of a page's words that must be known for the weights with words.
+    KNOWN = 0.35
+
+    def __init__(self, full: Weights, shape: Weights, known: set[str]):
+        self.full, self.shape, self.known = full, shape, known
+
+    @classmethod
+    def train(cls, pages: list[str], label=None, *, least: int = 3, rounds: int = 100, ridge: float = 1e-5) -> PageModel:
+        """The model of the contents; label(site, title, lines) gives 0 or 1 for each line, by default the rules of
+        page_labels."""
+        if label is None:
+            from loamstone.llm.page_labels import labelled as label
+        rows, terms, labels, pairs = [], [], [], []
+        seen: Counter = Counter()
+        for content in pages:
+            site, title, lines = parts_of(content)
+            if not lines:
+                continue
+            kinds, names, words = page_features(site, title, lines)
+            base = len(rows)
+            rows += names
+            terms += [_terms(w) for w in words]
+            seen.update({x for w in words for x in w})
+            labels += label(site, title, lines)
+            parents, edges = tree_of(kinds)
+            pairs += [(base + i, base + p, edges[i]) for i, p in enumerate(parents) if p >= 0]
+        options = {"least": least, "rounds": rounds, "ridge": ridge}
+        full = Weights.fit(rows, terms, labels, pairs, **options)
+        shape = Weights.fit(rows, [[] for _ in rows], labels, pairs, **options)
+        return cls(full, shape, {w for w, n in seen.items() if n > 1})
+
+    def marginals(self, site: str, title: str, lines: list[tuple[int, str, bool]], words_count: bool | None = None) -> list[float]:
+        """The probability of boilerplate for each line. words_count chooses the weights; by default the page's words do."""
+        kinds, names, words = page_features(site, title, lines)
+        if words_count is None:
+            total = sum(map(len, words))
+            words_count = sum([w in self.known for x in words for w in x]) >= self.KNOWN * total
+        weights = self.full if words_count else self.shape
+        own = [weights.odds(f, _terms(w) if words_count else []) for f, w in zip(names, words, strict=True)]
+        return weights.marginals(own, *tree_of(kinds))
+
+
+def train_model(pages: DataFrame, content: str, *, train_pages: int = 2000) -> PageModel:
     """A model from at most train_pages contents: those with the least hash of their text, the same on every run."""
     text = F.col(f"`{content}`")
     hashed = pages.select(text.alias("c"), F.xxhash64(text).alias("h")).where(F.length("c") > 0)
@@ -381,7 +304,7 @@ def train_model(pages: DataFrame, content: str, *, train_pages: int = 1000) -> P
 
 
 def boilerplate_lines(
-    pages: DataFrame, key: str, content: str, *, model: PageModel | None = None, train_pages: int = 1000, certainty: float = 0.5
+    pages: DataFrame, key: str, content: str, *, model: PageModel | None = None, train_pages: int = 2000, certainty: float = 0.5
 ) -> DataFrame:
     """(key, line_no, probability): the boilerplate lines of every content, numbered from 1 over the whole content.
 

@@ -7,18 +7,18 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from loamstone.llm import boilerplate, cutoffs, mixing, spam
+from loamstone.llm import boilerplate, cutoffs, mixing, page_labels, spam
 
 
 # --- boilerplate ---
 def test_sum_product_is_exact():
     """Marginals by messages are those of all labellings."""
     lines = [(i + 1, t, False) for i, t in enumerate(["Home", "A title of some words here", "One sentence that ends here now.", "Trending now", "Another title of some words", "A sentence under it.", "Top"])]
-    kinds, names, words = boilerplate.page_features("", "", lines)
+    kinds, names, _ = boilerplate.page_features("", "", lines)
     parent, edge = boilerplate.tree_of(kinds)
     rng = random.Random(1)
-    model = boilerplate.PageModel(0.1, {x: rng.uniform(-1, 1) for f in names for x in f}, {e: tuple(rng.uniform(0.2, 3) for _ in range(4)) for e in edge})
-    own = [math.exp(model.bias + sum(model.weights[x] for x in f)) for f in names]
+    model = boilerplate.Weights(0.1, {x: rng.uniform(-1, 1) for f in names for x in f}, {e: tuple(rng.uniform(0.2, 3) for _ in range(4)) for e in edge})
+    own = [model.odds(f, []) for f in names]
     total, sums = 0.0, [0.0] * len(lines)
     for labels in itertools.product((0, 1), repeat=len(lines)):
         p = math.prod(o if y else 1.0 for o, y in zip(own, labels, strict=True))
@@ -27,21 +27,46 @@ def test_sum_product_is_exact():
                 p *= model.edges[edge[i]][labels[q] * 2 + labels[i]]
         total += p
         sums = [s + p * y for s, y in zip(sums, labels, strict=True)]
-    assert model.marginals("", "", lines) == pytest.approx([s / total for s in sums])
+    assert model.marginals(own, parent, edge) == pytest.approx([s / total for s in sums])
+
+
+def _pages(spark, data):
+    return [r.content for r in spark.read.parquet(f"{data}/raw.parquet").select("content").where("length(content) > 0").orderBy("raw_id").collect()]
 
 
 def test_held_out_pages(spark, data):
-    """On pages it was not trained on, the model agrees with the labels that train it."""
-    pages = [r.content for r in spark.read.parquet(f"{data}/raw.parquet").select("content").where("length(content) > 0").orderBy("raw_id").collect()]
+    """On pages it was not trained on, the model agrees with the rules that label its training pages, also by shape alone."""
+    pages = _pages(spark, data)
     model = boilerplate.PageModel.train(pages[::2])
-    right = total = 0
+    right = shape = total = 0
     for content in pages[1::2]:
         site, title, lines = boilerplate.parts_of(content)
         if lines:
-            marks = boilerplate.labelled(site, title, lines)
+            marks = page_labels.labelled(site, title, lines)
             right += sum((p > 0.5) == bool(y) for p, y in zip(model.marginals(site, title, lines), marks, strict=True))
+            shape += sum((p > 0.5) == bool(y) for p, y in zip(model.marginals(site, title, lines, False), marks, strict=True))
             total += len(lines)
-    assert total > 300 and right / total > 0.97
+    assert total > 300 and right / total > 0.96 and shape / total > 0.9
+
+
+#: A page in a language that no rule and no training page knows; 1 marks its furniture.
+SWEDISH = [
+    (1, "Hem"), (1, "Om oss"), (1, "Statistik"), (1, "Kontakt"), (0, "Riksbanken lämnar styrräntan oförändrad i höst"),
+    (0, "Direktionen beslutade på torsdagen att lämna styrräntan oförändrad. Inflationen har fallit tillbaka mot målet, men hushållens konsumtion är fortsatt svag."),
+    (0, "Exporten steg under det tredje kvartalet, medan bostadsbyggandet minskade. Ledamöterna väntar sig att tillväxten tar fart först nästa år."),
+    (0, "Bedömningen är att kronan stärks gradvis. En ny prognos publiceras i december."),
+    (1, "Läs också"), (1, "› Bankernas utlåning ökar i långsam takt"), (1, "› Så påverkas räntan av hösten"), (1, "› Ny rapport om betalningar"), (1, "© 2024 Riksbanken"), (1, "Till toppen"),
+]
+
+
+def test_unknown_language(spark, data):
+    model = boilerplate.PageModel.train(_pages(spark, data))
+    lines = [(i + 1, t, False) for i, (_, t) in enumerate(SWEDISH)]
+    got = [p > 0.5 for p in model.marginals("", SWEDISH[4][1], lines)]
+    assert sum(g == bool(y) for g, (y, _) in zip(got, SWEDISH, strict=True)) >= 0.9 * len(SWEDISH)
+    # without messages between the lines the shapes of single lines decide
+    kinds, names, _ = boilerplate.page_features("", SWEDISH[4][1], lines)
+    assert [model.shape.odds(f, []) > 1 for f in names] != [] and len(kinds) == len(SWEDISH)
 
 
 def test_page_cases(spark, data):
