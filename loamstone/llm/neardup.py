@@ -1,13 +1,15 @@
 """Groups of near-duplicate records by a multi-index Hamming join over minhash signatures.
 
-Every text is its set of word shingles. A signature has 40 symbols (one minimum hash each). Two texts of Jaccard
-similarity s differ in about 40 * (1 - s) symbols. The signature is split into 10 chunks of 4 symbols, and one error is
-allowed in a chunk: each chunk gives four keys, each with one symbol left out. By the pigeonhole principle every pair
-that differs in at most 19 symbols has a chunk with at most one error, so it shares a key: no such pair is missed, and
-pairs beyond are still found with the probability of two equal chunks (97.6 % at a similarity of 0.5, 99.8 % at 0.6).
-
-Rows of one key are compared on b-bit codes of the symbols (40 three-bit codes that travel with the key), and what passes
-is checked exactly on the shingle sets. Members of a very common key are compared with the
+Every text is its set of word shingles. A signature has 42 symbols (one minimum hash each). Two texts of Jaccard
+similarity s differ in about 42 * (1 - s) symbols. The signature is split into 14 chunks of 3 symbols, and one error is
+allowed in a chunk: each chunk gives three keys, each with one symbol left out. By the pigeonhole principle every pair
+that differs in at most 27 symbols has a chunk with at most one error, so it shares a key: no pair within that radius is
+missed. A pair of similarity 0.5 lies within it with a probability of 98 %, one of 0.55 with 99.7 %, one of 0.6 with 99.97 %,
+and most pairs beyond it share a key as well, since three errors in every chunk are rare.
+
+Rows of one key are compared on b-bit codes of the symbols (42 three-bit codes that travel with the key; they differ in no
+more places than the symbols do, and the same radius applies, so the codes lose no pair that the radius keeps), and what
+passes is checked exactly on the shingle sets. Members of a very common key are compared with the
 first of its rows first; only members that are not yet in one component with each other are then compared, in blocks
 that are spread over tasks. So no key is capped, nothing is sampled, and a group of copies costs one row per batch.
 Where links are counted, the blocks are compared whole, whatever the components: the count asks for every pair.
@@ -19,18 +21,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loamstone.llm.shingles import list_of, mixed, shingle_sets, word_lists, words_of
 from loamstone.operators.graph import components
 from loamstone.session import checkpointed, spread, stored
 
-CHUNKS, SYMBOLS = 10, 4
+CHUNKS, SYMBOLS = 14, 3
 LENGTH = CHUNKS * SYMBOLS
-#: Greatest number of the 40 three-bit codes in which a pair may differ. At a similarity of 0.5 17.5 +- 3.1 are expected
-#: (16.2 +- 3.0 where a key is shared), 32.4 +- 2.0 where a key is shared by chance.
-MOST = 26
+#: The radius: symbols in which a pair may differ, and so the three-bit codes that may. Two errors in each of the chunks are
+#: the least that leave no chunk with one error.
+MOST = 2 * CHUNKS - 1
 #: Rows of one key beyond which the two-step comparison is used, and rows in a block of it.
 COMMON, BLOCK = 1024, 2048
 #: Nodes up to which their list is broadcast (16 bytes each in memory).
@@ -40,7 +42,7 @@ _ONES = np.uint64(0x1249249249249249)  # the lowest bit of each three-bit code
 
 
 def signatures(codes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """The minimum of each of the 40 hashes over every non-empty set."""
+    """The minimum of each of the hashes over every non-empty set."""
     out = np.empty((len(offsets) - 1, LENGTH), np.uint64)
     wide = mixed(codes.astype(np.uint64))
     for k in range(LENGTH):
@@ -49,7 +51,7 @@ def signatures(codes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def sketches(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """40 three-bit codes as two 64-bit numbers."""
+    """The three-bit codes as two 64-bit numbers."""
     out = np.zeros((2, len(symbols)), np.uint64)
     for k in range(LENGTH):
         out[k % 2] |= (symbols[:, k] & np.uint64(7)) << np.uint64(3 * (k // 2))
@@ -57,11 +59,11 @@ def sketches(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _keys(symbols: np.ndarray) -> np.ndarray:
-    """The 40 keys of each signature."""
+    """The keys of each signature."""
     out = np.empty((len(symbols), LENGTH), np.uint64)
     for c in range(CHUNKS):
         terms = [mixed(symbols[:, c * SYMBOLS + j] + np.uint64(j + 1)) for j in range(SYMBOLS)]
-        whole = terms[0] + terms[1] + terms[2] + terms[3]
+        whole = terms[0] + terms[1] + terms[2]
         for j in range(SYMBOLS):
             out[:, c * SYMBOLS + j] = mixed(whole - terms[j] + np.uint64(c * SYMBOLS + j))
     return out
@@ -75,16 +77,6 @@ def _apart(a0: np.ndarray, a1: np.ndarray, b0: np.ndarray, b1: np.ndarray) -> np
     return np.bitwise_count(x) + np.bitwise_count(y)
 
 
-def codes_near(*pairs: tuple[Column, Column]) -> Column:
-    """Whether two sketches differ in at most MOST codes."""
-    differ = F.lit(0)
-    for a, b in pairs:
-        x = a.bitwiseXOR(b)
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseOR(F.shiftrightunsigned(x, 2))
-        differ = differ + F.bit_count(x.bitwiseAND(F.lit(int(_ONES))))
-    return differ <= MOST
-
-
 def _long(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
@@ -119,7 +111,7 @@ def _sets(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _key_rows(sets: DataFrame) -> DataFrame:
-    """(key, node, s0, s1): 40 rows per node."""
+    """(key, node, s0, s1): a row for each key of a node."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -256,10 +248,8 @@ def near_duplicate_groups(records: DataFrame, key: str, text, *, width: int = 3,
     empty one. Columns besides key and text are not read. Shingles are compared by 64-bit hashes for equality of whole
     sets and by 32-bit codes within a pair, where one false match in 300,000 pairs is expected.
     """
-    spark = records.sparkSession
     sets = stored(shingled(records, key, text, width), "shingles")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    found = _key_rows(sets).repartition(parts, "key").sortWithinPartitions("key", "node")
+    found = _key_rows(sets).repartition("key").sortWithinPartitions("key", "node")
     found = stored(found.mapInArrow(_near_in_key, "kind byte, a long, b long, s0 long, s1 long"), "near")
     pairs = checkpointed(found.where("kind = 0").select("a", "b").distinct())
     links = checkpointed(verified(pairs, sets, threshold))
@@ -267,7 +257,7 @@ def near_duplicate_groups(records: DataFrame, key: str, text, *, width: int = 3,
     common = found.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("node"), "s0", "s1")
     if common.limit(1).count():
         # with no roots every text is a component of its own, so pairs inside the components are compared too
-        more = _common_pairs(common, rooted.limit(0) if count_links else rooted, parts)
+        more = _common_pairs(common, rooted.limit(0) if count_links else rooted)
         more = checkpointed(more.join(pairs, ["a", "b"], "left_anti"))
         links = checkpointed(links.union(verified(more, sets, threshold)).distinct())
         rooted = components(links)
@@ -282,8 +272,8 @@ def near_duplicate_groups(records: DataFrame, key: str, text, *, width: int = 3,
     )
 
 
-def _common_pairs(common: DataFrame, rooted: DataFrame, parts: int) -> DataFrame:
-    """Near pairs of common keys whose ends are in different components."""
+def _common_pairs(common: DataFrame, rooted: DataFrame, parts: int | None = None) -> DataFrame:
+    """Near pairs of common keys whose ends are in different components; in `parts` partitions, or as many as the session has."""
     rows = common.distinct().join(rooted, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"), "s0", "s1")
     # keys all of whose rows are in one component are done
     mixed_keys = rows.groupBy("key").agg(F.count("*").alias("_n"), F.min("root").alias("_lo"), F.max("root").alias("_hi")).where("_lo < _hi")
@@ -295,7 +285,7 @@ def _common_pairs(common: DataFrame, rooted: DataFrame, parts: int) -> DataFrame
     task = F.xxhash64("key", F.least("_block", "_other"), F.greatest("_block", "_other"))
     side = F.when(F.col("_block") > F.col("_other"), 1).otherwise(0)
     spread = rows.select(task.alias("task"), side.alias("side"), "node", "root", "s0", "s1")
-    spread = spread.repartition(parts, "task").sortWithinPartitions("task", "side")
+    spread = spread.repartition(*([parts] if parts else []), "task").sortWithinPartitions("task", "side")
     return spread.mapInArrow(_near_across_roots, "a long, b long").distinct()
 
 

@@ -4,6 +4,7 @@ import itertools
 import random
 
 import pytest
+import numpy as np
 from pyspark.sql import functions as F
 
 from loamstone.llm import neardup
@@ -147,6 +148,19 @@ def test_pigeonhole():
         assert (keys[0] == keys[1]).any()
 
 
+def test_radius_is_guaranteed():
+    """Every pair within the radius that is accepted shares a key, and its codes are within the radius as well."""
+    rng = np.random.default_rng(6)
+    for n in range(neardup.MOST + 1):
+        for _ in range(40):
+            x = rng.integers(0, 2**63, neardup.LENGTH, dtype=np.uint64)
+            y = x.copy()
+            y[rng.choice(neardup.LENGTH, n, replace=False)] ^= np.uint64(1)
+            keys = neardup._keys(np.stack([x, y]))
+            a, b = neardup.sketches(np.stack([x, y]))
+            assert (keys[0] == keys[1]).any() and neardup._apart(a[:1], b[:1], a[1:], b[1:])[0] == n
+
+
 def test_runs_across_batches():
     """A key that is spread over batches is compared as a whole."""
     import numpy as np
