@@ -1,15 +1,15 @@
 """Groups of near-duplicate records by a multi-index Hamming join over minhash signatures.
 
-Every text is its set of word shingles. A signature has 42 symbols (one minimum hash each). Two texts of Jaccard
-similarity s differ in about 42 * (1 - s) symbols. The signature is split into 14 chunks of 3 symbols, and one error is
-allowed in a chunk: each chunk gives three keys, each with one symbol left out. By the pigeonhole principle every pair
-that differs in at most 27 symbols has a chunk with at most one error, so it shares a key: no pair within that radius is
-missed. A pair of similarity 0.5 lies within it with a probability of 98 %, one of 0.55 with 99.7 %, one of 0.6 with 99.97 %,
-and most pairs beyond it share a key as well, since three errors in every chunk are rare.
-
-Rows of one key are compared on b-bit codes of the symbols (42 three-bit codes that travel with the key; they differ in no
-more places than the symbols do, and the same radius applies, so the codes lose no pair that the radius keeps), and what
-passes is checked exactly on the shingle sets. Members of a very common key are compared with the
+Every text is its set of word shingles. A signature has 40 symbols (one minimum hash each). Two texts of Jaccard
+similarity s differ in about 40 * (1 - s) symbols. The signature is split into 10 chunks of 4 symbols, and one error is
+allowed in a chunk: each chunk gives four keys, each with one symbol left out. By the pigeonhole principle every pair
+that differs in at most 19 symbols has a chunk with at most one error, so it shares a key: no pair within that radius is
+missed. Pairs beyond it are accepted as well where they share a key, which they do with the probability of a chunk with at
+most one error (97.6 % at a similarity of 0.5, 99.8 % at 0.6). A radius of 27 with 14 chunks of 3 symbols was tried: keys of
+two symbols are shared by too many texts that only look alike, and the shuffle grew with the power 1.38 of the input.
+
+Rows of one key are compared on b-bit codes of the symbols (40 three-bit codes that travel with the key), and what passes
+is checked exactly on the shingle sets. Members of a very common key are compared with the
 first of its rows first; only members that are not yet in one component with each other are then compared, in blocks
 that are spread over tasks. So no key is capped, nothing is sampled, and a group of copies costs one row per batch.
 Where links are counted, the blocks are compared whole, whatever the components: the count asks for every pair.
@@ -28,11 +28,13 @@ from loamstone.llm.shingles import list_of, mixed, shingle_sets, word_lists, wor
 from loamstone.operators.graph import components
 from loamstone.session import checkpointed, spread, stored
 
-CHUNKS, SYMBOLS = 14, 3
+CHUNKS, SYMBOLS = 10, 4
 LENGTH = CHUNKS * SYMBOLS
-#: The radius: symbols in which a pair may differ, and so the three-bit codes that may. Two errors in each of the chunks are
-#: the least that leave no chunk with one error.
-MOST = 2 * CHUNKS - 1
+#: The guaranteed radius: two errors in each of the chunks are the least that leave no chunk with one error.
+RADIUS = 2 * CHUNKS - 1
+#: Greatest number of the 40 three-bit codes in which a pair may differ. At a similarity of 0.5 17.5 +- 3.1 are expected
+#: (16.2 +- 3.0 where a key is shared), 32.4 +- 2.0 where a key is shared by chance.
+MOST = 26
 #: Rows of one key beyond which the two-step comparison is used, and rows in a block of it.
 COMMON, BLOCK = 1024, 2048
 #: Nodes up to which their list is broadcast (16 bytes each in memory).
@@ -63,7 +65,7 @@ def _keys(symbols: np.ndarray) -> np.ndarray:
     out = np.empty((len(symbols), LENGTH), np.uint64)
     for c in range(CHUNKS):
         terms = [mixed(symbols[:, c * SYMBOLS + j] + np.uint64(j + 1)) for j in range(SYMBOLS)]
-        whole = terms[0] + terms[1] + terms[2]
+        whole = terms[0] + terms[1] + terms[2] + terms[3]
         for j in range(SYMBOLS):
             out[:, c * SYMBOLS + j] = mixed(whole - terms[j] + np.uint64(c * SYMBOLS + j))
     return out

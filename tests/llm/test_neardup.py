@@ -149,9 +149,9 @@ def test_pigeonhole():
 
 
 def test_radius_is_guaranteed():
-    """Every pair within the radius that is accepted shares a key, and its codes are within the radius as well."""
+    """Every pair within the radius shares a key, and its codes differ in no more places than its symbols."""
     rng = np.random.default_rng(6)
-    for n in range(neardup.MOST + 1):
+    for n in range(neardup.RADIUS + 1):
         for _ in range(40):
             x = rng.integers(0, 2**63, neardup.LENGTH, dtype=np.uint64)
             y = x.copy()
