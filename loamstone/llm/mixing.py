@@ -24,7 +24,7 @@ from pyspark.sql.window import Window
 
 from loamstone.session import checkpointed
 
-#: Sources in a table of targets, which is held by the driver.
+#: Sources up to which the driver plans the mix and the plan is broadcast; beyond, both stay tables.
 MOST_SOURCES = 100_000
 
 
@@ -97,33 +97,101 @@ def plan(sources: list[Share], budget: float | None, rounds: int = 60) -> tuple[
     return budget, high
 
 
+def planned(asked: DataFrame, budget: float | None, passes: int = 6, grid: int = 64) -> tuple[DataFrame, float]:
+    """plan() over a table (source, weight, repeats, documents, tokens) of any size: (the table with quota, exponent).
+
+    The exponent is narrowed by grids: one aggregate tells for `grid` exponents at once whether every source fits.
+    """
+    used = (F.col("weight") > 0) & (F.col("tokens") > 0) & (F.col("repeats") > 0)
+    asked = checkpointed(asked)
+    most = F.col("tokens").cast("double") * F.col("repeats")
+    whole = asked.where(used).agg(F.sum("weight").alias("w"), F.sum("tokens").alias("t"), F.sum(most).alias("m"), F.min(most / F.col("weight")).alias("least")).first()
+    if not whole["t"]:
+        return asked.withColumn("quota", F.lit(0.0)), 0.0
+    budget = min(whole["least"] * whole["w"] if budget is None else budget, whole["m"])
+    target, share = F.col("weight") / whole["w"], F.col("tokens") / F.lit(float(whole["t"]))
+    raw = lambda x: F.pow(target, F.lit(1 - x)) * F.pow(share, F.lit(x))
+
+    def fits(exponents: list[float]) -> list[bool]:
+        row = asked.where(used).agg(*[F.struct(F.sum(raw(x)).alias("s"), F.max(raw(x) / most).alias("m")) for x in exponents]).first()
+        return [r["m"] * budget <= r["s"] * (1 + 1e-12) for r in row]
+
+    low, high = 0.0, 1.0
+    if fits([0.0])[0]:
+        high = 0.0
+    else:
+        for _ in range(passes):
+            points = [low + (high - low) * k / grid for k in range(1, grid)]
+            ok = fits(points)
+            at = ok.index(True) if any(ok) else grid - 1
+            low, high = (points[at - 1] if at else low), (points[at] if at < grid - 1 else high)
+    total = asked.where(used).agg(F.sum(raw(high))).first()[0]
+    out = asked.withColumn("quota", F.when(used, F.least(raw(high) / F.lit(total) * F.lit(float(budget)), most)).otherwise(0.0))
+    got = out.where(used).agg(F.sum("quota").alias("q"), F.sum(most - F.col("quota")).alias("room")).first()
+    lack = budget - got["q"]
+    if lack >= 1 and got["room"] >= 1:
+        # beyond exponent 1 the rest goes to the sources with room
+        out = out.withColumn("quota", F.when(used, F.col("quota") + (most - F.col("quota")) * F.lit(min(1.0, lack / got["room"]))).otherwise(0.0))
+    return checkpointed(out), high
+
+
+def entropy_targets(documents: DataFrame, targets: DataFrame, *, source: str = "source", tokens: str = "tokens", repeats: str = "max_repeats", evenness: float = 0.9) -> tuple[DataFrame, float]:
+    """(targets, exponent): (source, weight_pct, max_repeats) with weights share ** exponent whose entropy is `evenness` of
+    the greatest one, that of equal weights. The targets' own weights are not read; sources without tokens get none."""
+    sums = documents.where(F.col(tokens) > 0).groupBy(F.col(source).alias("_s")).agg(F.sum(tokens).alias("t"))
+    rows = targets.where(F.col(source).isNotNull()).groupBy(source).agg(F.max(repeats).alias("r")).join(sums, F.col(source) == F.col("_s"))
+    rows = rows.select(source, "r", F.col("t").cast("double")).orderBy(source).limit(MOST_SOURCES + 1).collect()
+    if len(rows) > MOST_SOURCES:
+        raise ValueError(f"an entropy target is fitted for at most {MOST_SOURCES} sources")
+    whole = sum(r["t"] for r in rows) or 1.0
+    shares = [r["t"] / whole for r in rows]
+    x = exponent_for_entropy(shares, evenness * math.log(len(rows))) if len(rows) > 1 else 0.0
+    weights = tempered([1.0] * len(rows), shares, x)
+    out = [(r[source], 100.0 * w, r["r"]) for r, w in zip(rows, weights, strict=True)]
+    return documents.sparkSession.createDataFrame(out, f"{source} string, weight_pct double, {repeats} int"), x
+
+
 def mix(
     documents: DataFrame, targets: DataFrame, *, key: str = "doc_id", source: str = "source", tokens: str = "tokens", weight: str = "weight_pct",
     repeats: str = "max_repeats", budget: float | None = None, block: int = 2000, seed: int = 7,
-) -> tuple[DataFrame, list[Share], float]:
+) -> tuple[DataFrame, list[Share] | DataFrame, float]:
     """(copies, sources, exponent): copies has (key, source, tokens, copies) of every document that occurs in the mix.
 
     documents has key, source and tokens, each row one document; targets has source (unique), weight and repeats. Rows
     without a source, of unwanted sources or without tokens take no part. A target without documents cannot be met: its
     weight is shared out in proportion. No document occurs more than its source's repeats. A source's tokens differ from
     its quota by less than its smallest document that is left over in the last block. Repeated keys are documents of their own; null
-    weights and repeats count as 0. Empty tables give an empty mix.
+    weights and repeats count as 0. Empty tables give an empty mix. sources is a table where they are more than
+    MOST_SOURCES, planned by the same rules.
     """
     wanted = targets.where(F.col(source).isNotNull()).groupBy(F.col(source).alias("_wanted")).agg(
         F.max(F.coalesce(F.col(weight).cast("double"), F.lit(0.0))).alias("_weight"), F.max(F.coalesce(F.col(repeats).cast("int"), F.lit(0))).alias("_repeats")
     )
     sized = documents.select(F.col(key).alias("_key"), F.col(source).alias("_source"), F.col(tokens).cast("long").alias("_tokens")).where("_tokens > 0")
     sums = sized.groupBy("_source").agg(F.count("*").alias("n"), F.sum("_tokens").alias("t"))
-    rows = wanted.join(sums, F.col("_wanted") == F.col("_source"), "left").orderBy("_wanted").limit(MOST_SOURCES + 1).collect()
+    asked = wanted.join(sums, F.col("_wanted") == F.col("_source"), "left").select(
+        F.col("_wanted").alias("source"), F.col("_weight").alias("weight"), F.col("_repeats").alias("repeats"),
+        F.coalesce("n", F.lit(0)).alias("documents"), F.coalesce("t", F.lit(0)).alias("tokens"),
+    )
+    rows = asked.orderBy("source").limit(MOST_SOURCES + 1).collect()
+    spark = documents.sparkSession
     if len(rows) > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} target sources")
-    sources = [Share(r["_wanted"], r["_weight"], r["_repeats"], r["n"] or 0, r["t"] or 0) for r in rows]
-    _, exponent = plan(sources, budget)
-    quota = [(s.source, int(s.quota // s.tokens), float(s.quota % s.tokens), max(1, math.ceil(s.documents / block))) for s in sources if s.quota > 0]
+        sources, exponent = planned(asked, budget)
+        quotas = sources
+    else:
+        sources = [Share(*r) for r in rows]
+        _, exponent = plan(sources, budget)
+        quotas = spark.createDataFrame([(s.source, s.documents, s.tokens, float(s.quota)) for s in sources], "source string, documents long, tokens long, quota double")
+    rounds = F.floor(F.col("quota") / F.col("tokens"))
+    rest = F.col("quota") - rounds * F.col("tokens")
     # a quota of whole rounds must not lose a round to rounding
-    quota = [(a, e + 1, 0.0, b) if r > s.tokens * (1 - 1e-9) else (a, e, r, b) for (a, e, r, b), s in zip(quota, [s for s in sources if s.quota > 0], strict=True)]
-    spark = documents.sparkSession
-    plans = F.broadcast(spark.createDataFrame(quota, "_source string, _rounds int, _rest double, _blocks int"))  # at most MOST_SOURCES rows
+    full = rest > F.col("tokens") * (1 - 1e-9)
+    plans = quotas.where("quota > 0").select(
+        F.col("source").alias("_source"), (rounds + full.cast("int")).cast("int").alias("_rounds"), F.when(full, 0.0).otherwise(rest).alias("_rest"),
+        F.greatest(F.lit(1), F.ceil(F.col("documents") / block)).cast("int").alias("_blocks"),
+    )
+    if len(rows) <= MOST_SOURCES:
+        plans = F.broadcast(plans)  # at most MOST_SOURCES rows
     order = F.xxhash64(F.lit(seed), F.col("_key").cast("string"))
     placed = sized.join(plans, "_source").withColumn("_order", order)
     # blocks are ranges of the order
@@ -162,16 +230,22 @@ def _filled(rows: pd.DataFrame) -> pd.DataFrame:
     return rows[["_key", "_source", "_tokens", "_rounds"]].assign(_extra=pd.Series(extra, dtype="int32"))
 
 
-def shares(copies: DataFrame, sources: list[Share], *, source: str = "source", tokens: str = "tokens") -> DataFrame:
-    """(source, weight_pct, max_repeats, documents, tokens, mixed_tokens, actual_pct, most_copies) of every target."""
+def shares(copies: DataFrame, sources: list[Share] | DataFrame, exponent: float = 0.0, *, source: str = "source", tokens: str = "tokens") -> DataFrame:
+    """(source, weight_pct, max_repeats, documents, tokens, mixed_tokens, actual_pct, used_pct, most_copies, exponent) of
+    every target: its share of the mix, and how much of its own tokens the mix holds (above 100 where they repeat)."""
     spark = copies.sparkSession
-    schema = f"{source} string, weight_pct double, max_repeats int, documents long, tokens long"
-    wanted = spark.createDataFrame([(s.source, s.weight, s.repeats, s.documents, s.tokens) for s in sources], schema)
+    names = [source, "weight_pct", "max_repeats", "documents", "tokens"]
+    if isinstance(sources, DataFrame):
+        wanted = sources.select("source", "weight", "repeats", "documents", "tokens").toDF(*names)
+    else:
+        schema = f"{source} string, weight_pct double, max_repeats int, documents long, tokens long"
+        wanted = spark.createDataFrame([(s.source, s.weight, s.repeats, s.documents, s.tokens) for s in sources], schema)
     mixed = copies.groupBy(F.col(source).alias("_s")).agg(F.sum(F.col(tokens) * F.col("copies")).alias("mixed_tokens"), F.max("copies").alias("most_copies"))
-    whole = mixed.agg(F.sum("mixed_tokens").alias("_whole"))
-    out = wanted.join(mixed, F.col(source) == F.col("_s"), "left").join(F.broadcast(whole), F.lit(True), "left")
-    share = F.coalesce(F.col("mixed_tokens") * 100.0 / F.col("_whole"), F.lit(0.0))
+    mixed = checkpointed(mixed)  # a row per source
+    whole = mixed.agg(F.sum("mixed_tokens")).first()[0] or 0
+    out = wanted.join(mixed, F.col(source) == F.col("_s"), "left")
+    part = F.coalesce(F.col("mixed_tokens"), F.lit(0))
     return out.select(
-        source, "weight_pct", "max_repeats", "documents", "tokens", F.coalesce("mixed_tokens", F.lit(0)).alias("mixed_tokens"),
-        share.alias("actual_pct"), F.coalesce("most_copies", F.lit(0)).alias("most_copies"),
+        source, "weight_pct", "max_repeats", "documents", "tokens", part.alias("mixed_tokens"), (part * 100.0 / F.lit(max(1, whole))).alias("actual_pct"),
+        F.coalesce(F.try_divide(part * 100.0, F.col("tokens")), F.lit(0.0)).alias("used_pct"), F.coalesce("most_copies", F.lit(0)).alias("most_copies"), F.lit(exponent).alias("exponent"),
     )

@@ -90,17 +90,23 @@ def p8_mix(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p8_shares(spark: SparkSession, folder: str) -> DataFrame:
-    """The target and actual shares of that mix."""
-    copies, sources, _ = mixing.mix(*_sized(spark, folder))
-    return mixing.shares(copies, sources)
+    """The target and actual shares of that mix, with the exponent and the share of each source's tokens that it uses."""
+    return mixing.shares(*mixing.mix(*_sized(spark, folder)))
 
 
 def p8_tempered_shares(spark: SparkSession, folder: str) -> DataFrame:
     """The shares of a mix as large as all wanted documents together, tempered as far as the caps on repeats ask."""
     sized, targets = _sized(spark, folder)
     whole = sized.agg(F.sum("tokens")).first()[0] or 0
-    copies, sources, _ = mixing.mix(sized, targets, budget=float(whole))
-    return mixing.shares(copies, sources)
+    return mixing.shares(*mixing.mix(sized, targets, budget=float(whole)))
+
+
+def p8_entropy_shares(spark: SparkSession, folder: str) -> DataFrame:
+    """The shares of a mix whose weights are powers of the sources' token shares, with nine tenths of the greatest entropy."""
+    sized, targets = _sized(spark, folder)
+    tempered, exponent = mixing.entropy_targets(sized, targets)
+    copies, sources, _ = mixing.mix(sized, tempered)
+    return mixing.shares(copies, sources, exponent)
 
 
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -112,7 +118,7 @@ def p9_pages(spark: SparkSession, folder: str) -> DataFrame:
     return spam.stuffed_pages(table(spark, folder, "documents"), "doc_id", "text")
 
 
-QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p2_text": p2_text, "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p6_groups": p6_groups, "p7_ids": p7_ids, "p8_mix": p8_mix, "p8_shares": p8_shares, "p8_tempered_shares": p8_tempered_shares, "p9_found": p9_found, "p9_pages": p9_pages}
+QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p2_text": p2_text, "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p6_groups": p6_groups, "p7_ids": p7_ids, "p8_mix": p8_mix, "p8_shares": p8_shares, "p8_tempered_shares": p8_tempered_shares, "p8_entropy_shares": p8_entropy_shares, "p9_found": p9_found, "p9_pages": p9_pages}
 
 SQL = {
     "p3_found": r"""

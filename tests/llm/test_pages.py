@@ -223,3 +223,33 @@ def test_mix(spark):
     rows = copies.collect()
     assert 0 < x < 1 and all(r.copies <= {"big": 1, "mid": 2, "small": 4}[r.source] for r in rows)
     assert mixing.mix(df.limit(0), want)[0].count() == 0 and mixing.mix(df, want.limit(0))[0].count() == 0
+
+
+def test_many_sources(spark, monkeypatch):
+    """Beyond the limit of the driver's plan the table's plan gives the same mix."""
+    rng = random.Random(4)
+    docs = [(i, f"s{rng.randint(0, 5) ** 2 // 5}", rng.randint(1, 300)) for i in range(3000)]
+    targets = [("s0", 30, 1), ("s1", 30, 3), ("s3", 20, 2), ("s5", 20, 4), ("absent", 7, 2)]
+    df = spark.createDataFrame(docs, "doc_id long, source string, tokens int")
+    want = spark.createDataFrame(targets, "source string, weight_pct int, max_repeats int")
+    for budget in (None, 600_000.0, 1e9):
+        monkeypatch.setattr(mixing, "MOST_SOURCES", 100)
+        copies, sources, x = mixing.mix(df, want, budget=budget)
+        few = {r.source: r for r in mixing.shares(copies, sources, x).collect()}
+        monkeypatch.setattr(mixing, "MOST_SOURCES", 2)
+        copies, table, y = mixing.mix(df, want, budget=budget)
+        many = {r.source: r for r in mixing.shares(copies, table, y).collect()}
+        assert y == pytest.approx(x, abs=1e-6) and set(few) == set(many)
+        for s in few:
+            assert many[s].mixed_tokens == pytest.approx(few[s].mixed_tokens, abs=300) and many[s].most_copies <= many[s].max_repeats
+
+
+def test_entropy_target(spark):
+    docs = spark.createDataFrame([(i, "big" if i % 10 else "small", 100) for i in range(1000)], "doc_id long, source string, tokens int")
+    want = spark.createDataFrame([("big", 1, 1), ("small", 99, 5)], "source string, weight_pct int, max_repeats int")
+    tempered, x = mixing.entropy_targets(docs, want, evenness=0.8)
+    weights = {r.source: r.weight_pct / 100 for r in tempered.collect()}
+    assert 0 < x < 1 and mixing.entropy(list(weights.values())) == pytest.approx(0.8 * math.log(2))
+    copies, sources, _ = mixing.mix(docs, tempered)
+    got = {r.source: r for r in mixing.shares(copies, sources, x).collect()}
+    assert got["small"].actual_pct / 100 == pytest.approx(weights["small"], abs=0.005) and got["small"].exponent == x

@@ -5,7 +5,7 @@ import os
 import pytest
 
 from loamstone.llm import queries
-from loamstone.llm.tokenizer import encode_corpus, token_counts
+from loamstone.llm.tokenizer import WordEncoder, encode_corpus, token_counts
 
 TEXTS = [
     None, "", " ", "  a", "a  b\n\n c\t d  ", "<|endoftext|>", "a" * 3000 + "b", "it's we'll  don't x 　y\x1cz \x85 q",
@@ -27,3 +27,21 @@ def test_same_ids(spark, data):
     counts = {r.n: r.tokens for r in token_counts(df, "text", queries.BYTE_BPE).collect()}
     assert [counts[i] for i in range(len(texts))] == [len(w) for w in want]
     assert encode_corpus(df.limit(0), "text", queries.BYTE_BPE).count() == 0
+
+
+@pytest.mark.skipif(not os.path.exists(queries.BYTE_BPE), reason="no tokenizer files here")
+def test_long_words():
+    """Words beyond the limit of the recursive query: the same ids, in time that does not grow with their square."""
+    import random
+    import time
+
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    public, coder, rng = Tokenizer.from_file(queries.BYTE_BPE), WordEncoder(queries.BYTE_BPE), random.Random(1)
+    letters = lambda n, of="abcdefghijklmnopqrstuvwxyz": "".join(rng.choice(of) for _ in range(n))
+    texts = [*map(letters, (191, 192, 193, 194, 700)), "a" * 777, "ab" * 900, "aab" * 500, letters(2000, "ACGT"), "物価上昇率は昨年" * 60, "thequickbrownfox" * 50, "1" * 1000, "-" * 999]
+    assert coder.encode(pa.array(texts)).to_pylist() == [public.encode(t, add_special_tokens=False).ids for t in texts]
+    began = time.time()
+    word = letters(300_000)
+    assert coder.counts(pa.array([word]))[0] == len(public.encode(word, add_special_tokens=False).ids) and time.time() - began < 30
