@@ -1,11 +1,12 @@
 """One UTC instant for timestamps written in mixed formats, precisions and zones.
 
 Each value is matched once against a fixed list of shapes; the shape gives year, month, day, time, fraction and zone
-as text. Only one thing stays open then: whether `a/b/yyyy` is day-month or month-day. That is decided by a mixture
-model per source, fitted by expectation-maximisation over compact counts (how many values of the source parse only
-as day-month, only as month-day, or as both with different results). The declared order of a source enters as prior
-pseudo-counts. A value's posterior decides; where it is below `certainty`, the value is marked ambiguous and gets no
-instant.
+as text, and with them the formats under which the value is valid. A source is a mixture of formats. It is fitted by
+expectation-maximisation over compact counts (how many values of the source are valid under which set of formats): a
+value counts for each of its formats in proportion to that format's weight, and the weights are the expected shares. The
+declared order of a source enters as a finite number of prior values. The posterior of a value's formats chooses its
+interpretation; where it is below `certainty`, the value is marked ambiguous and gets no instant. Of the shapes listed,
+`a/b/yyyy` is the one that is valid under two formats.
 
 Everything is a native expression. The data are scanned twice, once for the counts and once for the result; only a
 table with one row per source is shuffled besides.
@@ -43,6 +44,11 @@ ZONES = {
     "aest": 600, "aedt": 660,
 }
 
+#: The formats of the mixture: year first, day first, month first, a named month after or before the day, bare Unix numbers.
+FORMATS = ["ymd", "dmy", "mdy", "day_name", "name_day", "epoch"]
+#: How many values a declared order counts for.
+PRIOR = 1000.0
+
 _ZONE = r"\s*([a-z]{1,5}|(?:utc|gmt)?[+-]\d{1,2}:?(?:\d{2})?)?"
 _CLOCK = r"(?:,?\s*(?:t|at|um|à|a las|alle|,)?\s*(\d{1,2}):(\d{2})(?::(\d{2})(?:[.,](\d{1,12}))?)?\s*(am|pm|a\.\s?m\.|p\.\s?m\.)?" + _ZONE + ")?"
 _NAME = r"([a-zà-öø-ÿ]{3,12})\.?"
@@ -125,31 +131,51 @@ def parsed(df: DataFrame, value: str) -> DataFrame:
     return df.withColumn("_fit", F.coalesce(fit, F.lit(False)))
 
 
-def order_mixture(values: DataFrame, source: str, declared: str, prior_weight: float = 1e9, rounds: int = 25) -> DataFrame:
-    """Per source, the fitted share of day-month order among its numeric dates: (source, n_dmy_only, n_mdy_only,
-    n_both, p_dmy).
+def valid_formats(values: DataFrame) -> Column:
+    """The formats under which a value of parsed() is valid, as bits in the order of FORMATS."""
+    kind, d, m = F.col("_kind"), F.col("_dmy").isNotNull(), F.col("_mdy").isNotNull()
+    bit = lambda name, c: F.when(c & F.col("_fit"), 1 << FORMATS.index(name)).otherwise(0)
+    return (
+        bit("ymd", (kind == "ymd") & d) + bit("dmy", (kind == "num") & d) + bit("mdy", (kind == "num") & m) + bit("day_name", (kind == "dmy") & d)
+        + bit("name_day", (kind == "mdy") & d) + bit("epoch", kind == "epoch")
+    )
+
+
+def order_mixture(values: DataFrame, source: str, declared: str, prior_weight: float = PRIOR, rounds: int = 25) -> DataFrame:
+    """Per source, the fitted mixture of formats: (source, n_dmy_only, n_mdy_only, n_both, weights, p_dmy).
 
     values is the output of parsed(). `declared` names a column with `dmy`, `mdy` or null; a declared order counts as
-    prior_weight values seen in that order. Expectation: each value that parses both ways is day-month with
-    probability p. Maximisation: p is the expected share. With counts only, each round is arithmetic on one row.
+    prior_weight values seen in that order, every format as one. Expectation: a value belongs to each format it is valid
+    under with a probability in proportion to the format's weight. Maximisation: the weights are the expected shares. With
+    counts only, each round is arithmetic on one row per source. p_dmy is the probability of day first against month first.
     """
-    numeric = values.where(F.col("_kind") == "num").where(F.col("_fit"))
-    one = lambda c: F.sum(F.when(c, 1).otherwise(0)).alias
-    d, m = F.col("_dmy").isNotNull(), F.col("_mdy").isNotNull()
-    counts = numeric.groupBy(source).agg(
-        one(d & ~m)("n_dmy_only"), one(m & ~d)("n_mdy_only"), one(d & m)("n_both"),
-        F.max(F.when(F.col(declared) == "dmy", 1).otherwise(0)).alias("_d"), F.max(F.when(F.col(declared) == "mdy", 1).otherwise(0)).alias("_m"),
+    held = values.withColumn("_mask", F.coalesce(valid_formats(values), F.lit(0))).where("_mask > 0")
+    flag = lambda order: F.max(F.when(F.col(declared) == order, 1).otherwise(0))
+    counts = held.groupBy(source, "_mask").agg(F.count("*").alias("_n"), flag("dmy").alias("_d"), flag("mdy").alias("_m"))
+    d, m = 1 << FORMATS.index("dmy"), 1 << FORMATS.index("mdy")
+    of = lambda mask: F.sum(F.when(F.col("_mask") == mask, F.col("_n")).otherwise(0))
+    table = counts.groupBy(source).agg(
+        of(d).alias("n_dmy_only"), of(m).alias("n_mdy_only"), of(d | m).alias("n_both"), F.collect_list(F.struct("_mask", "_n")).alias("_c"),
+        F.max("_d").alias("_d"), F.max("_m").alias("_m"), F.sum("_n").alias("_all"),
     )
-    prior_d = 1.0 + F.col("_d") * float(prior_weight)
-    prior_m = 1.0 + F.col("_m") * float(prior_weight)
-    total = prior_d + prior_m + F.col("n_dmy_only") + F.col("n_mdy_only") + F.col("n_both")
-    step = lambda p: (prior_d + F.col("n_dmy_only") + F.col("n_both") * p) / total
-    p = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), prior_d / (prior_d + prior_m), lambda p, _: step(p))
-    return counts.withColumn("p_dmy", p).drop("_d", "_m")
+    prior = [1.0 + (F.col({"dmy": "_d", "mdy": "_m"}[k]) * float(prior_weight) if k in ("dmy", "mdy") else F.lit(0.0)) for k in FORMATS]
+    total = sum(prior[1:], prior[0]) + F.col("_all")
+
+    def step(w: Column) -> Column:
+        """One round for all formats: each count is shared out over its formats in proportion to their weights."""
+        holds = lambda mask, k: mask.bitwiseAND(F.lit(1 << k)) > 0
+        within = lambda mask: sum([F.when(holds(mask, k), w[k]).otherwise(0.0) for k in range(1, len(FORMATS))], F.when(holds(mask, 0), w[0]).otherwise(0.0))
+        part = lambda k: lambda s, c: s + F.when(holds(c["_mask"], k), c["_n"] * w[k] / within(c["_mask"])).otherwise(0.0)
+        return F.array(*[(prior[k] + F.aggregate("_c", F.lit(0.0), part(k))) / total for k in range(len(FORMATS))])
+
+    start = F.array(*[x / sum(prior[1:], prior[0]) for x in prior])
+    fitted = table.withColumn("weights", F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start, lambda w, _: step(w)))
+    i, j = FORMATS.index("dmy"), FORMATS.index("mdy")
+    return fitted.withColumn("p_dmy", F.col("weights")[i] / (F.col("weights")[i] + F.col("weights")[j])).drop("_c", "_d", "_m", "_all")
 
 
 def normalised(
-    df: DataFrame, value: str, source: str, zone: str, declared: str, *, prior_weight: float = 1e9, certainty: float = 0.8
+    df: DataFrame, value: str, source: str, zone: str, declared: str, *, prior_weight: float = PRIOR, certainty: float = 0.8
 ) -> DataFrame:
     """df with utc_us (microseconds since 1970-01-01 UTC, or null), ts_status and ts_posterior.
 

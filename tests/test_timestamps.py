@@ -66,3 +66,27 @@ def test_order_is_learned(spark):
     mix = {r.source: r for r in order_mixture(parsed(df, "value"), "source", "o").collect()}
     assert mix["a"].p_dmy > 0.9 and mix["b"].p_dmy < 0.1 and abs(mix["c"].p_dmy - 0.5) < 1e-9
     assert (mix["a"].n_dmy_only, mix["a"].n_mdy_only, mix["a"].n_both) == (16, 0, 1)
+
+
+def test_mixture_of_formats(spark):
+    """The weights are those of the same rounds in plain Python."""
+    rows = ["2024-01-05"] * 6 + ["13/1/2024"] * 3 + ["1/13/2024"] + ["3/4/2024"] * 5 + ["5 May 2024"] * 2 + ["1673778965"]
+    df = spark.createDataFrame([("s", v) for v in rows], "source string, value string").selectExpr("*", "CAST(NULL AS STRING) AS o")
+    got = order_mixture(parsed(df, "value"), "source", "o").first()
+    masks, w = {(0,): 6, (1,): 3, (2,): 1, (1, 2): 5, (3,): 2, (5,): 1}, [1 / 6] * 6
+    for _ in range(25):
+        e = [1.0] * 6
+        for m, n in masks.items():
+            for k in m:
+                e[k] += n * w[k] / sum(w[j] for j in m)
+        w = [x / (6 + 18) for x in e]
+    assert all(abs(a - b) < 1e-9 for a, b in zip(got.weights, w, strict=True)) and abs(sum(w) - 1) < 1e-9
+
+
+def test_inferred_orders(spark, data):
+    """Without the registry the mixture finds the declared order wherever the source's dates tell."""
+    from loamstone.plans.records import p5_inferred
+
+    rows = p5_inferred(spark, "/root/testdata/sf0.01").collect()
+    told = [r for r in rows if r.agrees is not None]
+    assert told and sum(r.agrees for r in told) >= 0.99 * len(told) and all(r.inferred == "ambiguous" for r in rows if r.agrees is None)
