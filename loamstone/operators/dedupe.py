@@ -7,6 +7,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from loamstone.operators.graph import components
 
@@ -62,19 +63,71 @@ def leader_groups(df: DataFrame, key: str, block: list[str], order: str, terms:
 
     def fold(part: pd.DataFrame) -> pd.DataFrame:
         leaders: list[tuple[object, set]] = []
+        holders: dict[str, list[int]] = {}  # leaders by term: only those that share one are compared
         out = []
         for k, words in zip(part["key"], part["terms"], strict=True):
             own = set(words) if words is not None else set()
             best, name = 0.0, None
-            for leader, theirs in leaders:
-                s = len(own & theirs) / len(own | theirs) if own and theirs else 0.0
+            for g in sorted({g for w in own for g in holders.get(w, ())}):
+                leader, theirs = leaders[g]
+                s = len(own & theirs) / len(own | theirs)
                 if s >= threshold:
                     best, name = s, leader
                     break
             if name is None:
+                for w in own:
+                    holders.setdefault(w, []).append(len(leaders))
                 leaders.append((k, own))
                 best, name = 1.0, k
             out.append((k, name, best))
         return pd.DataFrame(out, columns=["key", "leader", "similarity"])
 
     return ordered_fold(rows, block, fold, f"key {kind}, leader {kind}, similarity double", ["order", "key"]).withColumnRenamed("key", key)
+
+
+def growing_groups(df: DataFrame, key: str, block: list[str], day: str, terms: str, threshold: float = 0.5, lookback: int = 7) -> DataFrame:
+    """(key, leader, similarity): rows of a block in the order of day and key join the most similar group whose last day is
+    at most `lookback` days ago, if its terms have at least the Jaccard similarity (of equal ones the earlier group); the
+    group's terms and last day grow by the row's. Else they begin a group, named by their key. Rows without terms begin
+    groups of their own.
+
+    The result depends on the order, so a block is walked row by row. A walk is cut where it may be: rows of a block that lie
+    more than `lookback` days after all before them share no group with these, so each such run is a task of its own. Within
+    it a row meets only the groups of its window that share a term with it (an index by term), not all.
+    """
+    kind = df.schema[key].dataType.simpleString()
+    rows = df.select(*block, F.col(key).alias("key"), F.col(day).alias("day"), F.array_sort(F.array_distinct(terms)).alias("terms"))
+    days = rows.groupBy(*block, "day").agg(F.count("*").alias("_n")).drop("_n")
+    order = Window.partitionBy(*block).orderBy("day")
+    start = F.when(F.datediff("day", F.lag("day").over(order)) <= lookback, 0).otherwise(1)
+    days = days.withColumn("_start", start).withColumn("_run", F.sum("_start").over(order)).drop("_start")
+    rows = rows.join(days, [*block, "day"])
+
+    def fold(part: pd.DataFrame) -> pd.DataFrame:
+        groups: list[list] = []  # name, terms, last day
+        holders: dict[str, set[int]] = {}
+        out = []
+        for k, when, words in zip(part["key"], part["day"], part["terms"], strict=True):
+            own = set(words) if words is not None else set()
+            best, at = 0.0, -1
+            for g in sorted({g for w in own for g in holders.get(w, ())}):
+                name, theirs, last = groups[g]
+                if (when - last).days > lookback:
+                    for w in theirs:
+                        holders[w].discard(g)
+                    continue
+                s = len(own & theirs) / len(own | theirs)
+                if s >= threshold and s > best:
+                    best, at = s, g
+            if at < 0:
+                groups.append([k, own, when])
+                best, at = 1.0, len(groups) - 1
+            else:
+                groups[at][1] = groups[at][1] | own
+                groups[at][2] = when
+            for w in own:
+                holders.setdefault(w, set()).add(at)
+            out.append((k, groups[at][0], best))
+        return pd.DataFrame(out, columns=["key", "leader", "similarity"])
+
+    return ordered_fold(rows, [*block, "_run"], fold, f"key {kind}, leader {kind}, similarity double", ["day", "key"]).withColumnRenamed("key", key)

@@ -1,4 +1,4 @@
-"""Edge lists: new edges, neighbours, breadth-first search and components."""
+"""Edge lists: emission, new edges, neighbours, filters, breadth-first search and components."""
 
 from __future__ import annotations
 
@@ -13,14 +13,53 @@ def new_edges(edges: DataFrame, known: DataFrame, identity: list[str]) -> DataFr
     return edges.join(known.select(*identity), identity, "left_anti")
 
 
-def breadth_first(edges: DataFrame, roots: DataFrame, source: str = "src", target: str = "dst", most_depth: int = 10) -> DataFrame:
-    """(node, depth): every node that can be reached from the roots in at most most_depth steps, at its least depth.
+def emitted(df: DataFrame, rules: list[tuple[str, str, str, str | None]], weight: str = "weight") -> DataFrame:
+    """(src, label, dst, weight): edges that each row emits, given as (column of the source, label, column of the target,
+    column of the weight or None for 1). Rows where either end is null emit none; equal edges are one, with the greatest
+    weight. One pass over the rows for all rules."""
+    one = F.lit(1.0)
+    edges = F.array(*[
+        F.struct(F.col(a).cast("string").alias("src"), F.lit(label).alias("label"), F.col(b).cast("string").alias("dst"), (F.col(w).cast("double") if w else one).alias(weight))
+        for a, label, b, w in rules
+    ])
+    rows = df.select(F.inline(edges)).where("src IS NOT NULL AND dst IS NOT NULL")
+    return rows.groupBy("src", "label", "dst").agg(F.max(weight).alias(weight))
+
+
+def incident(edges: DataFrame, labels: list[str] | None = None) -> DataFrame:
+    """(node, label, other, weight): every edge from both of its ends."""
+    if labels is not None:
+        edges = edges.where(F.col("label").isin(*labels))
+    ends = F.array(F.struct(F.col("src").alias("node"), F.col("dst").alias("other")), F.struct(F.col("dst").alias("node"), F.col("src").alias("other")))
+    return edges.select("label", "weight", F.inline(ends)).select("node", "label", "other", "weight").distinct()
+
+
+def neighbours(edges: DataFrame, nodes: DataFrame, node: str, labels: list[str]) -> DataFrame:
+    """(node, one array per label): the sorted neighbours of the given nodes by label; empty where there are none."""
+    near = incident(edges, labels).join(nodes.select(F.col(node).alias("node")).distinct(), "node", "left_semi")
+    lists = near.groupBy("node").pivot("label", labels).agg(F.array_sort(F.collect_set("other")))
+    out = nodes.select(F.col(node).alias("node")).distinct().join(lists, "node", "left")
+    return out.select("node", *[F.coalesce(F.col(f"`{x}`"), F.array().cast("array<string>")).alias(x) for x in labels])
+
+
+def strong_edges(edges: DataFrame, sources: DataFrame, targets: DataFrame, label: str, least: float) -> DataFrame:
+    """The edges of a label with at least the weight whose ends are both among the given nodes (first columns)."""
+    kept = edges.where((F.col("label") == label) & (F.col("weight") >= least))
+    kept = kept.join(sources.select(F.col(sources.columns[0]).alias("src")), "src", "left_semi")
+    return kept.join(targets.select(F.col(targets.columns[0]).alias("dst")), "dst", "left_semi").select("src", "label", "dst", "weight")
+
+
+def breadth_first(edges: DataFrame, roots: DataFrame, source: str = "src", target: str = "dst", most_depth: int | None = None) -> DataFrame:
+    """(node, depth): every node that can be reached from the roots (in at most most_depth steps, if given), at its least
+    depth.
 
     Each step joins only the last level with the edges and drops what was reached before; levels end in a checkpoint.
     """
     seen = checkpointed(roots.select(F.col(roots.columns[0]).alias("node")).distinct().withColumn("depth", F.lit(0)))
     level, levels = seen, [seen]
-    for depth in range(1, most_depth + 1):
+    depth = 0
+    while most_depth is None or depth < most_depth:
+        depth += 1
         step = level.join(edges.select(F.col(source).alias("node"), F.col(target).alias("_next")), "node")
         step = step.select(F.col("_next").alias("node")).distinct()
         reached = levels[0]

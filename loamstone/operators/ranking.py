@@ -30,7 +30,7 @@ def last_wins(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 def modal_value(df: DataFrame, keys: list[str], value: str, position: str) -> DataFrame:
     """(keys, value): the most frequent non-blank value of each key; of several the one that occurs first."""
     counted = df.where(F.coalesce(F.col(value), F.lit("")) != "").groupBy(*keys, value).agg(F.count("*").alias("_n"), F.min(position).alias("_p"))
-    return counted.groupBy(*keys).agg(F.max_by(value, F.struct(F.col("_n"), -F.col("_p"))).alias(value))
+    return counted.groupBy(*keys).agg(F.min_by(value, F.struct(-F.col("_n"), F.col("_p"))).alias(value))
 
 
 def within_budget(df: DataFrame, keys: list[str], order: list[Column], budget: int) -> DataFrame:

@@ -46,3 +46,16 @@ def carried(df: DataFrame, key: str, time: str, signal: str, neutral: str = "neu
     flip = F.lag("state").over(Window.partitionBy(key).orderBy(time))
     df = df.withColumn("_flip", F.when(flip.isNotNull() & (flip != F.col("state")), 1).otherwise(0))
     return df.withColumn("flips", F.sum("_flip").over(upto)).drop("_flip")
+
+
+def range_sums(df: DataFrame, day: str, value: str, days: int, name: str, block: int = 366) -> DataFrame:
+    """df (one row per day) with the sum of `value` over the `days` days up to each row's own, across any calendar bounds.
+
+    A frame over the whole table would be one task. The days are divided into blocks of `block` days instead, and the last
+    days - 1 of a block are given to the next one as well, where they count in frames but are no rows of their own.
+    """
+    at = F.unix_date(day)
+    own = F.floor(at / block)
+    marked = df.withColumn("_block", F.explode(F.array_distinct(F.array(own, F.floor((at + days - 1) / block)))))
+    frame = Window.partitionBy("_block").orderBy(at).rangeBetween(1 - days, 0)
+    return marked.withColumn(name, F.sum(value).over(frame)).where(F.col("_block") == own).drop("_block")

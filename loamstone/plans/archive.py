@@ -6,11 +6,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loamstone.functions import hashing, text
-from loamstone.functions.dates import day_of, week_start
+from loamstone.functions.dates import week_start
 from loamstone.functions.domains import plain_domain
-from loamstone.functions.scoring import band, jaccard, weighted
+from loamstone.functions.scoring import band, weighted
 from loamstone.operators import dedupe, terms
-from loamstone.operators.joins import token_join
+from loamstone.operators.joins import similar_sets, token_join
 from loamstone.operators.ranking import first_wins, last_wins, modal_value, top_per
 from loamstone.plans.records import record_instants
 from loamstone.sources.records import body_of, header_of
@@ -37,35 +37,48 @@ def _domain() -> Column:
 
 
 
-def _records(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per id: rows delivered again differ in the spelling of times only; the least spelling is kept."""
-    return first_wins(table(spark, folder, "research_record"), ["id"], ["created_at", "source.published_at"])
+def _records(spark: SparkSession, folder: str, **columns: Column) -> DataFrame:
+    """(id, columns): one row per id. Rows delivered again differ in the spelling of times only; the least spelling is kept.
+    Only what is asked for is read, and only that and the two times are shuffled."""
+    rows = table(spark, folder, "research_record").select(
+        "id", F.col("created_at").alias("_c"), F.col("source.published_at").alias("_p"), *[c.alias(k) for k, c in columns.items()]
+    )
+    return first_wins(rows, ["id"], ["_c", "_p"]).drop("_c", "_p")
 
 
-def _days(spark: SparkSession, folder: str, field: str) -> DataFrame:
-    """(id, day): the UTC day of the field's instant, for every record whose value names one, in whatever form."""
+def _instants(spark: SparkSession, folder: str, field: str) -> DataFrame:
+    """(id, utc_us): the instant of the field, for every record whose value names one, in whatever form."""
     found = record_instants(spark, folder).where((F.col("field") == field) & F.col("utc_us").isNotNull())
+    return found.groupBy("id").agg(F.min("utc_us").alias("utc_us"))  # rows of one id name the same instant
+
+
+def _days(spark: SparkSession, folder: str, field: str) -> DataFrame:
+    """(id, day): the UTC day of the field's instant."""
     day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(F.col("utc_us") / 86_400_000_000).cast("int"))
-    return found.groupBy("id").agg(F.min(day).alias("day"))  # rows of one id name the same instant
+    return _instants(spark, folder, field).select("id", day.alias("day"))
 
 
 def source_stats(spark: SparkSession, folder: str) -> DataFrame:
-    """Counts by status, exact shares in basis points, score sums and the last spelling of created_at by source."""
-    rows = _records(spark, folder).select(
-        F.coalesce(_domain(), F.lit("unknown")).alias("domain"), "status", "created_at", F.col("llm_review.verification_confidence").alias("score")
-    )
+    """Counts by status, exact shares in basis points, score sums, the mean confidence in hundredths (of each record the
+    first score it has) and the last spelling of created_at by source."""
+    review = lambda c: F.col(f"llm_review.{c}_confidence")
+    rows = _records(
+        spark, folder, domain=F.coalesce(_domain(), F.lit("unknown")), status=F.col("status"), created_at=F.col("created_at"), score=review("verification"),
+        any_score=F.coalesce(review("verification"), review("initial")),
+    )
     count = lambda s: F.count_if(F.col("status") == s)
     score = F.when(F.col("score").between(0, 100) & F.col("status").isin("accepted", "review_queue"), F.col("score"))
     return rows.groupBy("domain").agg(
         F.count("*").alias("records"), count("accepted").alias("accepted"), count("review_queue").alias("in_review"), count("rejected").alias("rejected"),
         count("filtered_out").alias("filtered"), F.floor(count("accepted") * 10000 / F.count("*")).cast("long").alias("accepted_bp"),
-        F.sum(score).alias("score_sum"), F.count(score).alias("scored"),
+        F.sum(score).alias("score_sum"), F.count(score).alias("scored"), F.floor(F.sum("any_score") * 100 / F.count("any_score")).cast("long").alias("mean_confidence"),
+        F.coalesce(F.max("created_at"), F.lit("")).alias("last_created"),
     )
 
 
 def source_names(spark: SparkSession, folder: str) -> DataFrame:
     """The most frequent name of each source; of several the one of the least record id."""
-    rows = _records(spark, folder).select(_domain().alias("domain"), F.col("source.name").alias("name"), "id").where("domain IS NOT NULL")
+    rows = _records(spark, folder, domain=_domain(), name=F.col("source.name")).where("domain IS NOT NULL")
     counted = rows.where("name IS NOT NULL AND name <> ''").groupBy("domain", "name").agg(F.count("*").alias("n"), F.min("id").alias("p"))
     return counted.groupBy("domain").agg(F.min_by("name", F.struct(-F.col("n"), F.col("p"))).alias("name"))
 
@@ -88,7 +101,7 @@ def source_bands(spark: SparkSession, folder: str) -> DataFrame:
 def source_health(spark: SparkSession, folder: str) -> DataFrame:
     """Full outer join of raw texts and records by source."""
     raw = table(spark, folder, "raw").groupBy(plain_domain(F.col("source_domain")).alias("domain")).agg(F.count("*").alias("texts"))
-    rows = _records(spark, folder).groupBy(_domain().alias("domain")).agg(F.count("*").alias("records"))
+    rows = _records(spark, folder, domain=_domain()).groupBy("domain").agg(F.count("*").alias("records"))
     joined = raw.where("domain IS NOT NULL").join(rows.where("domain IS NOT NULL"), "domain", "full_outer")
     return joined.select("domain", F.coalesce("texts", F.lit(0)).alias("texts"), F.coalesce("records", F.lit(0)).alias("records"))
 
@@ -126,20 +139,21 @@ def url_hashes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def record_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
-    """Hashes and ids of every record. As in its SQL, event_fingerprint has a constant day: see event_fingerprints."""
-    rows = _records(spark, folder)
-    title, domain = F.col("title"), _domain()
+    """Hashes and ids of every record; its link is the one to its topic. The hash of its event, which needs the day its
+    timestamp names, is in event_fingerprints."""
+    rows = _records(spark, folder, title=F.col("title"), summary=F.col("summary"), topic=F.col("topic"), name=F.col("source.name"), url=F.col("source.url"))
+    title = F.col("title")
     return rows.select(
         "id", hashing.title_hash(title).alias("title_hash"), hashing.title_fingerprint(title).alias("title_fingerprint"),
-        hashing.content_hash(F.col("summary")).alias("content_hash"), hashing.event_fingerprint(domain, F.lit("2024-01-05T"), F.col("event_type")).alias("event_fingerprint"),
-        hashing.link_id(F.col("id"), F.lit("q")).alias("link_id"), hashing.record_id(F.col("source.name"), title, F.col("source.url")).alias("record_key"),
+        hashing.content_hash(F.col("summary")).alias("content_hash"), hashing.link_id(F.col("id"), F.coalesce("topic", F.lit(""))).alias("link_id"),
+        hashing.record_id(F.col("name"), title, F.col("url")).alias("record_key"),
     )
 
 
 def event_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     """The event fingerprint of every record with its own UTC day of publication; null without a source, a type or a
     published_at that names an instant."""
-    rows = _records(spark, folder).select("id", _domain().alias("domain"), "event_type").join(_days(spark, folder, "published_at"), "id", "left")
+    rows = _records(spark, folder, domain=_domain(), event_type=F.col("event_type")).join(_days(spark, folder, "published_at"), "id", "left")
     return rows.select("id", hashing.event_fingerprint(F.col("domain"), F.col("day").cast("string"), F.col("event_type")).alias("event_fingerprint"))
 
 
@@ -203,32 +217,30 @@ def document_links(spark: SparkSession, folder: str) -> DataFrame:
 
 def term_frequency(spark: SparkSession, folder: str) -> DataFrame:
     """Words of titles in at least three records, with how many."""
-    rows = _records(spark, folder)
+    rows = _records(spark, folder, title=F.col("title"))
     return terms.document_frequency(rows, text.clean_tokens(F.col("title"), STOPWORDS), 3)
 
 
+def term_occurrences(spark: SparkSession, folder: str) -> DataFrame:
+    """How often each watched term occurs as a whole word in all documents together."""
+    return terms.occurrences(table(spark, folder, "documents"), F.col("text"), sorted({t for w in WATCHLISTS for t in (*w[1], *w[3])}))
+
+
 def title_ngrams(spark: SparkSession, folder: str) -> DataFrame:
     """Two- and three-word phrases of titles in at least five records."""
-    rows = _records(spark, folder)
+    rows = _records(spark, folder, title=F.col("title"))
     return terms.document_frequency(rows, text.ngrams(text.clean_tokens(F.col("title"), STOPWORDS), 2, 3), 5)
 
 
 def tag_cooccurrence(spark: SparkSession, folder: str) -> DataFrame:
-    """How many records have both of two tags, for the ten most frequent tags."""
-    rows = _records(spark, folder).select("id", F.col("tags"))
-    vocabulary = terms.document_frequency(rows, F.col("tags")).orderBy(F.desc("documents"), "term").limit(10)
-    return terms.cooccurrence(rows, "id", F.col("tags"), vocabulary)
-
-
-def all_tag_cooccurrence(spark: SparkSession, folder: str) -> DataFrame:
-    """The same for all tags."""
-    rows = _records(spark, folder).select("id", F.col("tags"))
+    """How many records have both of two tags."""
+    rows = _records(spark, folder, tags=F.col("tags"))
     return terms.cooccurrence(rows, "id", F.col("tags"), terms.document_frequency(rows, F.col("tags")))
 
 
 def watchlist_hits(spark: SparkSession, folder: str) -> DataFrame:
     """Records that hold terms of a watched subject, all its required terms, and how many blocked ones."""
-    rows = _records(spark, folder).select("id", text.tokens(F.concat_ws(" ", "title", "summary")).alias("tokens"))
+    rows = _records(spark, folder, title=F.col("title"), summary=F.col("summary")).select("id", text.tokens(F.concat_ws(" ", "title", "summary")).alias("tokens"))
     entries = [(name, t, kind) for name, some, every, none in WATCHLISTS for kind, words in (("some", some), ("every", every), ("none", none)) for t in words]
     watched = spark.createDataFrame(entries, "watchlist string, term string, kind string")
     found = token_join(rows.select("id", "tokens"), watched, "tokens", "term").groupBy("watchlist", "id").agg(
@@ -241,48 +253,53 @@ def watchlist_hits(spark: SparkSession, folder: str) -> DataFrame:
 
 def similar_tags(spark: SparkSession, folder: str) -> DataFrame:
     """Pairs of sources by the Jaccard similarity of their tag sets in percent, at least 90."""
-    rows = _records(spark, folder).select(_domain().alias("domain"), F.explode("tags").alias("tag")).where("domain IS NOT NULL")
-    sets = rows.groupBy("domain").agg(F.array_sort(F.collect_set("tag")).alias("tags"))
-    other = sets.select(F.col("domain").alias("other"), F.col("tags").alias("other_tags"))
-    pairs = sets.join(other, F.col("domain") < F.col("other"))  # one row per source on either side
-    scored = pairs.select("domain", "other", F.floor(jaccard(F.col("tags"), F.col("other_tags")) * 100).cast("int").alias("percent"))
-    return scored.where("percent >= 90")
+    rows = _records(spark, folder, domain=_domain(), tags=F.col("tags")).select("domain", F.explode("tags").alias("tag")).where("domain IS NOT NULL")
+    return similar_sets(rows.distinct(), "domain", "tag", 90)
 
 
 def leader_clusters(spark: SparkSession, folder: str) -> DataFrame:
     """Records of one source and week (UTC) grouped around leaders of similar title words, in order of id. Records
     without a source or whose created_at names no instant take no part."""
-    rows = _records(spark, folder).select("id", _domain().alias("domain"), text.clean_tokens(F.col("title"), STOPWORDS).alias("terms"))
+    rows = _records(spark, folder, domain=_domain(), title=F.col("title")).withColumn("terms", text.clean_tokens(F.col("title"), STOPWORDS)).drop("title")
     rows = rows.where("domain IS NOT NULL").join(_days(spark, folder, "created_at"), "id").withColumn("week", week_start(F.col("day")))
     return dedupe.leader_groups(rows, "id", ["domain", "week"], "id", "terms", 0.5)
 
 
+def story_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    """Records of one source as a growing story: each joins the most similar story of the last seven days, whose terms then
+    grow by its own, or begins one. Records without a source or a day take no part."""
+    rows = _records(spark, folder, domain=_domain(), title=F.col("title")).withColumn("terms", text.clean_tokens(F.col("title"), STOPWORDS)).drop("title")
+    rows = rows.where("domain IS NOT NULL").join(_days(spark, folder, "created_at"), "id")
+    return dedupe.growing_groups(rows, "id", ["domain"], "day", "terms", 0.5, 7)
+
+
 def weekly_digest(spark: SparkSession, folder: str) -> DataFrame:
-    """Accepted records by ISO week: number, sources and the most frequent topic. As in its SQL, only values of created_at
-    that start with a year-month-day or month/day/year text count, by the day as written; other forms are left out."""
-    rows = _records(spark, folder).where("status = 'accepted'").select("id", _domain().alias("domain"), "topic", day_of(F.substring("created_at", 1, 10)).alias("day"))
-    rows = rows.where("day IS NOT NULL").withColumn("week", week_start(F.col("day")))
+    """Accepted records by week (UTC): number, sources and the most frequent topic. Records whose created_at names no
+    instant are the row without a week."""
+    rows = _records(spark, folder, domain=_domain(), topic=F.col("topic"), status=F.col("status")).where("status = 'accepted'")
+    rows = rows.join(_days(spark, folder, "created_at"), "id", "left").withColumn("week", week_start(F.col("day")))
     topics = rows.groupBy("week", "topic").agg(F.count("*").alias("n"))
-    lead = topics.groupBy("week").agg(F.min_by("topic", F.struct(-F.col("n"), F.col("topic"))).alias("lead_topic"))
-    return rows.groupBy("week").agg(F.count("*").alias("records"), F.count_distinct("domain").alias("sources")).join(lead, "week")
+    lead = topics.groupBy("week").agg(F.min_by("topic", F.struct(-F.col("n"), F.col("topic"))).alias("lead_topic")).withColumnRenamed("week", "_week")
+    counts = rows.groupBy("week").agg(F.count("*").alias("records"), F.count_distinct("domain").alias("sources"))
+    return counts.join(lead, F.col("week").eqNullSafe(F.col("_week"))).drop("_week")
 
 
 def latest_by_topic(spark: SparkSession, folder: str) -> DataFrame:
-    """The three records of each topic that come last by the text of created_at."""
-    rows = _records(spark, folder).where("topic IS NOT NULL").select("topic", "id", "created_at")
-    return top_per(rows, ["topic"], [F.desc("created_at"), F.col("id")], 3, "place").select("topic", "id", "place")
+    """The three records of each topic with the latest created_at, by the instants it names; those without one come last."""
+    rows = _records(spark, folder, topic=F.col("topic")).where("topic IS NOT NULL").join(_instants(spark, folder, "created_at"), "id", "left")
+    return top_per(rows, ["topic"], [F.desc_nulls_last("utc_us"), F.col("id")], 3, "place").select("topic", "id", "place")
 
 
 def issue_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Issues that reviews found, by verdict."""
-    rows = _records(spark, folder).select("llm_review.verdict", F.explode("llm_review.issues_found").alias("issue"))
+    rows = _records(spark, folder, verdict=F.col("llm_review.verdict"), issues=F.col("llm_review.issues_found")).select("verdict", F.explode("issues").alias("issue"))
     return rows.groupBy("verdict", "issue").agg(F.count("*").alias("n"))
 
 
 def common_names(spark: SparkSession, folder: str) -> DataFrame:
-    """The most frequent topic of each event type; of several the one seen first by record id."""
-    rows = _records(spark, folder).select("event_type", "topic", F.crc32("id").alias("place")).where("event_type IS NOT NULL")
-    return modal_value(rows, ["event_type"], "topic", "place")
+    """The most frequent topic of each event type; of several the one that occurs first by record id."""
+    rows = _records(spark, folder, event_type=F.col("event_type"), topic=F.col("topic")).where("event_type IS NOT NULL")
+    return modal_value(rows, ["event_type"], "topic", "id")
 
 
 QUERIES = {
@@ -290,7 +307,7 @@ QUERIES = {
     for f in (
         source_stats, source_names, best_sources, source_bands, source_health, raw_without_record, unseen_urls, manifest_upsert, url_parts, url_hashes,
         record_fingerprints, event_fingerprints, equal_documents, survivor_levels, raw_headers, raw_bodies, text_filter, languages, word_counts, document_themes, document_links,
-        term_frequency, title_ngrams, tag_cooccurrence, all_tag_cooccurrence, watchlist_hits, similar_tags, leader_clusters, weekly_digest, latest_by_topic, issue_counts, common_names,
+        term_frequency, title_ngrams, term_occurrences, tag_cooccurrence, watchlist_hits, similar_tags, leader_clusters, story_clusters, weekly_digest, latest_by_topic, issue_counts, common_names,
     )
 }
 
@@ -301,7 +318,9 @@ _STATS = f"""stats AS (
            count(*) FILTER (status = 'review_queue') AS in_review, count(*) FILTER (status = 'rejected') AS rejected,
            count(*) FILTER (status = 'filtered_out') AS filtered, count(*) FILTER (status = 'accepted') * 10000 // count(*) AS accepted_bp,
            CAST(sum(llm_review.verification_confidence) FILTER (llm_review.verification_confidence BETWEEN 0 AND 100 AND status IN ('accepted', 'review_queue')) AS BIGINT) AS score_sum,
-           count(*) FILTER (llm_review.verification_confidence BETWEEN 0 AND 100 AND status IN ('accepted', 'review_queue')) AS scored
+           count(*) FILTER (llm_review.verification_confidence BETWEEN 0 AND 100 AND status IN ('accepted', 'review_queue')) AS scored,
+           CAST(sum(coalesce(llm_review.verification_confidence, llm_review.initial_confidence)) * 100 // count(coalesce(llm_review.verification_confidence, llm_review.initial_confidence)) AS BIGINT) AS mean_confidence,
+           coalesce(max(created_at), '') AS last_created
     FROM one GROUP BY 1)"""
 _STOP = ", ".join(f"'{w}'" for w in dict.fromkeys(STOPWORDS))
 _WORDS = rf"list_filter(string_split(trim(regexp_replace(lower(coalesce(title, '')), '[^\p{{L}}\p{{N}}]+', ' ', 'g')), ' '), lambda w: length(w) >= 2 AND w NOT IN ({_STOP}))"
@@ -349,12 +368,11 @@ FROM seen_urls GROUP BY 1, 2""",
     "url_hashes": "SELECT url, substr(sha256(lower(rtrim(url, '/'))), 1, 16) AS url_hash, substr(sha1(url), 1, 28) AS callback_key FROM seen_urls",
     "record_fingerprints": rf"""
 WITH {_ONE}, s AS (SELECT *, rtrim(substr(trim(regexp_replace(lower(source.name), '[^a-z0-9]+', '_', 'g'), '_'), 1, 30), '_') AS a,
-    rtrim(substr(trim(regexp_replace(lower(title), '[^a-z0-9]+', '_', 'g'), '_'), 1, 60), '_') AS b, {_D} AS dom FROM one)
+    rtrim(substr(trim(regexp_replace(lower(title), '[^a-z0-9]+', '_', 'g'), '_'), 1, 60), '_') AS b FROM one)
 SELECT id, substr(sha256(regexp_replace(regexp_replace(lower(trim(title)), '[^\p{{L}}\p{{N}}_\s]', '', 'g'), '\s+', ' ', 'g')), 1, 16) AS title_hash,
        sha1(trim(regexp_replace(lower(title), '[^a-z0-9]+', ' ', 'g'))) AS title_fingerprint,
        substr(sha256(lower(trim(regexp_replace(summary, '[\s\x{{00A0}}]+', ' ', 'g')))), 1, 16) AS content_hash,
-       CASE WHEN dom IS NOT NULL AND trim(event_type) <> '' THEN sha1(dom || '|2024-01-05|' || lower(trim(event_type))) END AS event_fingerprint,
-       'link_' || substr(sha256(id || ':q'), 1, 16) AS link_id, concat_ws('_', a, b, substr(sha1(source.url), 1, 8)) AS record_key
+       'link_' || substr(sha256(id || ':' || coalesce(topic, '')), 1, 16) AS link_id, concat_ws('_', a, b, substr(sha1(source.url), 1, 8)) AS record_key
 FROM s""",
     "equal_documents": r"""
 WITH f AS (SELECT doc_id, sha1(lower(trim(regexp_replace(text, '[\s\x{00A0}]+', ' ', 'g')))) AS f FROM documents WHERE text IS NOT NULL),
@@ -389,7 +407,7 @@ g AS (SELECT list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || '
 SELECT term, count(*) AS documents FROM (SELECT unnest(g) AS term FROM g) GROUP BY 1 HAVING count(*) >= 5""",
     "tag_cooccurrence": f"""
 WITH {_ONE}, t AS (SELECT id, unnest(list_distinct(tags)) AS term FROM one),
-v AS (SELECT term FROM t GROUP BY 1 ORDER BY count(*) DESC, term LIMIT 10), k AS (SELECT id, term FROM t WHERE term IN (FROM v))
+k AS (SELECT id, term FROM t WHERE term IS NOT NULL)
 SELECT a.term AS term_a, b.term AS term_b, count(*) AS documents FROM k a JOIN k b USING (id) GROUP BY 1, 2""",
     "watchlist_hits": rf"""
 WITH {_ONE}, t AS (SELECT id, list_distinct(regexp_extract_all(lower(concat_ws(' ', title, summary)), '([a-z0-9.]+%|[a-z0-9]+)', 1)) AS w FROM one),
@@ -402,14 +420,11 @@ SELECT watchlist, id, matched, coalesce(blocked, 0) AS blocked FROM m JOIN d USI
     "similar_tags": f"""
 WITH {_ONE}, t AS (SELECT DISTINCT {_D} AS domain, unnest(tags) AS tag FROM one), s AS (SELECT domain, list(tag) AS tags FROM t WHERE domain IS NOT NULL AND tag IS NOT NULL GROUP BY 1)
 SELECT * FROM (SELECT a.domain, b.domain AS other, CAST(len(list_intersect(a.tags, b.tags)) * 100 // len(list_distinct(a.tags || b.tags)) AS INT) AS percent FROM s a JOIN s b ON a.domain < b.domain) WHERE percent >= 90""",
-    "weekly_digest": rf"""
-WITH {_ONE}, r AS (SELECT {_D} AS domain, topic, trim(created_at[:10]) AS c FROM one WHERE status = 'accepted'), y AS (SELECT domain, topic,
-    coalesce(try_cast(regexp_replace(regexp_extract(c, '^\d{{4}}[-/_]\d{{2}}[-/_]\d{{2}}'), '[/_]', '-', 'g') AS DATE), CAST(try_strptime(regexp_extract(c, '^(\d{{1,2}}/\d{{1,2}}/\d{{4}})', 1), '%m/%d/%Y') AS DATE)) AS day FROM r),
-w AS (SELECT *, CAST(date_trunc('week', day) AS DATE) AS week FROM y WHERE day IS NOT NULL), t AS (SELECT week, topic, count(*) AS n FROM w GROUP BY 1, 2),
-l AS (SELECT week, topic AS lead_topic FROM t QUALIFY row_number() OVER (PARTITION BY week ORDER BY n DESC, topic NULLS FIRST) = 1)
-SELECT week, count(*) AS records, count(DISTINCT domain) AS sources, any_value(lead_topic) AS lead_topic FROM w JOIN l USING (week) GROUP BY 1""",
-    "latest_by_topic": f"""
-WITH {_ONE}, r AS (SELECT topic, id, row_number() OVER (PARTITION BY topic ORDER BY created_at DESC NULLS LAST, id) AS place FROM one WHERE topic IS NOT NULL)
-SELECT * FROM r WHERE place <= 3""",
+    "term_occurrences": rf"""
+WITH t(term) AS (VALUES {", ".join(f"('{t}')" for t in sorted({t for w in WATCHLISTS for t in (*w[1], *w[3])}))})
+SELECT term, CAST(sum(len(regexp_extract_all(lower(text), '(?:^|[^\p{{L}}\p{{N}}_])' || term || '(?:$|[^\p{{L}}\p{{N}}_])'))) AS BIGINT) AS occurrences FROM t, documents WHERE text IS NOT NULL GROUP BY 1""",
+    "common_names": f"""
+WITH {_ONE}, n AS (SELECT event_type, topic, count(*) AS n, min(id) AS p FROM one WHERE event_type IS NOT NULL AND topic <> '' GROUP BY 1, 2)
+SELECT event_type, arg_min(topic, (-n, p)) AS topic FROM n GROUP BY 1""",
     "issue_counts": f"WITH {_ONE} SELECT llm_review.verdict AS verdict, issue, count(*) AS n FROM (SELECT llm_review, unnest(llm_review.issues_found) AS issue FROM one) GROUP BY 1, 2",
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from loamstone.plans import archive, eventlog, records, warehouse
+from loamstone.plans import archive, eventlog, records, story, warehouse
 
-QUERIES = {**records.QUERIES, **archive.QUERIES, **eventlog.QUERIES, **warehouse.QUERIES}
-SQL: dict[str, str] = {**archive.SQL, **eventlog.SQL, **warehouse.SQL}
+QUERIES = {**records.QUERIES, **archive.QUERIES, **story.QUERIES, **eventlog.QUERIES, **warehouse.QUERIES}
+SQL: dict[str, str] = {**archive.SQL, **story.SQL, **eventlog.SQL, **warehouse.SQL}

@@ -15,19 +15,21 @@ from loamstone.streaming import events as streams
 
 def _daily(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "events").groupBy("event_type", F.to_date("ts").alias("day"))
-    return rows.agg(F.sum(F.col("value").cast("decimal(18,4)")).cast("double").alias("value"))
+    return rows.agg(F.sum(F.col("value").cast("decimal(18,4)")).alias("value"))
 
 
 def series_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """Each series' observations with the change from the one before."""
     rows = series.changes(_daily(spark, folder), "event_type", "day", "value")
-    return rows.select("event_type", "day", "direction", F.col("previous").isNotNull().alias("has_previous"))
+    return rows.select("event_type", "day", F.col("value").cast("double").alias("value"), F.col("delta").cast("double").alias("delta"), "direction")
 
 
 def series_recent5(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _daily(spark, folder).withColumn("text", F.when(F.day("day") % 7 == 0, ".").otherwise(F.col("day").cast("string")))
-    rows = rows.withColumn("text", F.when(F.col("text") == ".", ".").otherwise(F.day("day").cast("string")))
+    """The last five observations of each series, newest first."""
+    rows = _daily(spark, folder).withColumn("text", F.col("value").cast("string"))
     out = series.recent(rows, "event_type", "day", "text")
-    return out.select("event_type", F.array_join(F.transform("days", lambda d: d.cast("string")), ",").alias("days"), F.array_join(F.transform("values", lambda v: v.cast("long").cast("string")), ",").alias("numbers"))
+    text = lambda c, f: F.array_join(F.transform(c, f), ",")
+    return out.select("event_type", text("days", lambda d: d.cast("string")).alias("days"), text("values", lambda v: F.round(v * 100).cast("long").cast("string")).alias("cents"))
 
 
 def new_series_data(spark: SparkSession, folder: str) -> DataFrame:
@@ -78,16 +80,16 @@ def surges(spark: SparkSession, folder: str) -> DataFrame:
 
 def outcome_counters(spark: SparkSession, folder: str) -> DataFrame:
     """Outcome counts at three grains in one pass: user, type, and all."""
-    rows = table(spark, folder, "events").select((F.col("user_id") % 50).alias("bucket"), "event_type")
-    return rows.cube("bucket", "event_type").agg(F.count("*").alias("n"), F.grouping_id().cast("long").alias("grain"))
+    rows = table(spark, folder, "events").select("user_id", "event_type")
+    return rows.cube("user_id", "event_type").agg(F.count("*").alias("n"), F.grouping_id().cast("long").alias("grain"))
 
 
 def unseen_within_week(spark: SparkSession, folder: str) -> DataFrame:
-    """Purchases of users who clicked nothing within the three days before."""
+    """Purchases of users who clicked nothing within the seven days before."""
     rows = table(spark, folder, "events").select("event_id", "user_id", "ts", "event_type")
     new = rows.where("event_type = 'purchase'").drop("event_type")
     seen = rows.where("event_type = 'click'").select("user_id", "ts")
-    return not_seen(new, seen, ["user_id"], "ts", "ts", 3).select("event_id", "user_id")
+    return not_seen(new, seen, ["user_id"], "ts", "ts", 7).select("event_id", "user_id")
 
 
 def json_fields(spark: SparkSession, folder: str) -> DataFrame:
@@ -163,7 +165,7 @@ QUERIES = {
     )
 }
 
-_DAILY = "d AS (SELECT event_type, CAST(ts AS DATE) AS day, CAST(sum(CAST(value AS DECIMAL(18,4))) AS DOUBLE) AS value FROM events GROUP BY 1, 2)"
+_DAILY = "d AS (SELECT event_type, CAST(ts AS DATE) AS day, sum(CAST(value AS DECIMAL(18,4))) AS value FROM events GROUP BY 1, 2)"
 _SESSIONS = """
 WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w < INTERVAL 12 HOURS THEN 0 ELSE 1 END AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
 s AS (SELECT user_id, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM g),
@@ -176,12 +178,11 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 SQL = {
     "series_changes": f"""
 WITH {_DAILY}, p AS (SELECT *, lag(value) OVER (PARTITION BY event_type ORDER BY day) AS previous FROM d)
-SELECT event_type, day, CASE WHEN value > previous THEN 'up' WHEN value < previous THEN 'down' WHEN value = previous THEN 'flat' END AS direction,
-       previous IS NOT NULL AS has_previous FROM p""",
-    "series_recent5": """
-WITH d AS (SELECT DISTINCT event_type, CAST(ts AS DATE) AS day FROM events),
-r AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY day DESC) AS n FROM d WHERE day(day) % 7 <> 0)
-SELECT event_type, string_agg(CAST(day AS VARCHAR), ',' ORDER BY n) AS days, string_agg(CAST(day(day) AS VARCHAR), ',' ORDER BY n) AS numbers FROM r WHERE n <= 5 GROUP BY 1""",
+SELECT event_type, day, CAST(value AS DOUBLE) AS value, CAST(value - previous AS DOUBLE) AS delta,
+       CASE WHEN value > previous THEN 'up' WHEN value < previous THEN 'down' WHEN value = previous THEN 'flat' END AS direction FROM p""",
+    "series_recent5": f"""
+WITH {_DAILY}, r AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY day DESC) AS n FROM d)
+SELECT event_type, string_agg(CAST(day AS VARCHAR), ',' ORDER BY n) AS days, string_agg(CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR), ',' ORDER BY n) AS cents FROM r WHERE n <= 5 GROUP BY 1""",
     "new_series_data": f"""
 WITH {_DAILY}, k AS (SELECT event_type, max(day) AS known FROM d WHERE day <= DATE '2024-01-15' AND event_type <> 'error' GROUP BY 1)
 SELECT d.event_type, CAST(d.day AS VARCHAR) AS day FROM d LEFT JOIN k USING (event_type) WHERE known IS NULL OR d.day > known""",
@@ -207,10 +208,10 @@ SELECT *, CASE WHEN up * 10 > n * 6 THEN 'strengthening' WHEN down * 10 > n * 6
     "surges": """
 SELECT event_type, count(*) AS n FROM events WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 48 HOURS GROUP BY 1 HAVING count(*) >= 3""",
     "outcome_counters": """
-SELECT user_id % 50 AS bucket, event_type, count(*) AS n, CAST(grouping(user_id % 50, event_type) AS BIGINT) AS grain FROM events GROUP BY CUBE (user_id % 50, event_type)""",
+SELECT user_id, event_type, count(*) AS n, CAST(grouping(user_id, event_type) AS BIGINT) AS grain FROM events GROUP BY CUBE (user_id, event_type)""",
     "unseen_within_week": """
 SELECT event_id, user_id FROM events a WHERE event_type = 'purchase' AND NOT EXISTS (
-    SELECT 1 FROM events b WHERE b.event_type = 'click' AND b.user_id = a.user_id AND b.ts <= a.ts AND a.ts - b.ts <= INTERVAL 3 DAYS)""",
+    SELECT 1 FROM events b WHERE b.event_type = 'click' AND b.user_id = a.user_id AND b.ts <= a.ts AND a.ts - b.ts <= INTERVAL 7 DAYS)""",
     "json_fields": """
 SELECT event_type, count(k) AS n, CAST(sum(k) AS BIGINT) AS total, min(k) AS least, max(k) AS most
 FROM (SELECT event_type, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events) GROUP BY 1""",

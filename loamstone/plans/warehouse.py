@@ -11,6 +11,7 @@ from loamstone.functions.scoring import band
 from loamstone.operators import graph
 from loamstone.operators.joins import as_of_join, range_join, salted_join
 from loamstone.operators.ranking import first_wins, last_wins, top_per, within_budget
+from loamstone.operators.series import range_sums
 from loamstone.sources.tables import table
 
 
@@ -70,17 +71,8 @@ def _daily_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def band_links_top3(spark: SparkSession, folder: str) -> DataFrame:
-    """For each urgent order of 1998 the three nearest days within a week on which most was shipped."""
-    orders = table(spark, folder, "orders").where("o_orderpriority = '1-URGENT'")
-    return _band_links(spark, folder, orders.where(F.year("o_orderdate") == 1998))
-
-
-def all_band_links_top3(spark: SparkSession, folder: str) -> DataFrame:
-    """The same for every order."""
-    return _band_links(spark, folder, table(spark, folder, "orders"))
-
-
-def _band_links(spark: SparkSession, folder: str, orders: DataFrame) -> DataFrame:
+    """For each order the three nearest days within a week on which most was shipped."""
+    orders = table(spark, folder, "orders")
     orders = orders.select("o_orderkey", F.to_date("o_orderdate").alias("order_day"))
     pairs = range_join(orders, _daily_lines(spark, folder), "order_day", "ship_day", 7)
     pairs = pairs.withColumn("score", F.lit(100) - F.abs(F.datediff("ship_day", "order_day")) * 60 / 7)
@@ -171,16 +163,8 @@ def trade_graph_reach(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def part_components(spark: SparkSession, folder: str) -> DataFrame:
-    """Components of suppliers that share a part in returned lines of high quantity, by size."""
-    return _part_components(table(spark, folder, "lineitem").where("l_returnflag = 'R' AND l_quantity >= 49"))
-
-
-def all_part_components(spark: SparkSession, folder: str) -> DataFrame:
     """Components of suppliers that share a part in any lines, by size."""
-    return _part_components(table(spark, folder, "lineitem"))
-
-
-def _part_components(lines: DataFrame) -> DataFrame:
+    lines = table(spark, folder, "lineitem")
     rows = lines.select("l_partkey", "l_suppkey").distinct()
     least = rows.groupBy("l_partkey").agg(F.min("l_suppkey").alias("b"))
     links = rows.join(least, "l_partkey").select(F.col("l_suppkey").alias("a"), "b").where("a <> b")
@@ -188,11 +172,11 @@ def _part_components(lines: DataFrame) -> DataFrame:
 
 
 def moving_revenue(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders per day with those of the seven days up to it (a range frame) and the running total of the month."""
-    days = table(spark, folder, "orders").groupBy(F.to_date("o_orderdate").alias("day")).agg(F.count("*").alias("n"))
-    week = Window.partitionBy(F.year("day")).orderBy(F.unix_date("day")).rangeBetween(-6, 0)
+    """Revenue per day with that of the seven days up to it (a range frame over all years) and the month's so far."""
+    days = table(spark, folder, "orders").groupBy(F.to_date("o_orderdate").alias("day")).agg(F.sum(money("o_totalprice")).alias("revenue"))
     month = Window.partitionBy(F.trunc("day", "month")).orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
-    return days.select("day", "n", F.sum("n").over(week).alias("week"), F.sum("n").over(month).alias("month_so_far"))
+    out = range_sums(days, "day", "revenue", 7, "week").withColumn("month_so_far", F.sum("revenue").over(month))
+    return out.select("day", *[F.col(c).cast("double").alias(c) for c in ("revenue", "week", "month_so_far")])
 
 
 def latest_order_upsert(spark: SparkSession, folder: str) -> DataFrame:
@@ -206,9 +190,9 @@ def latest_order_upsert(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        pricing_summary, shipping_priority, local_supplier_volume, revenue_forecast, referential_integrity, band_links_top3, all_band_links_top3, business_day_gaps,
+        pricing_summary, shipping_priority, local_supplier_volume, revenue_forecast, referential_integrity, band_links_top3, business_day_gaps,
         previous_order_as_of, salted_brand_revenue, sales_rollup, status_pivot, grouping_sets, top_customers, order_budget, customer_set_operations,
-        trade_graph_reach, part_components, all_part_components, moving_revenue, latest_order_upsert,
+        trade_graph_reach, part_components, moving_revenue, latest_order_upsert,
     )
 }
 
@@ -236,7 +220,7 @@ SELECT 'line_without_order' AS issue, count(*) AS n FROM lineitem WHERE l_orderk
 UNION ALL SELECT 'order_without_customer', count(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)
 UNION ALL SELECT 'order_without_lines', count(*) FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)""",
     "band_links_top3": """
-WITH o AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS order_day FROM orders WHERE o_orderpriority = '1-URGENT' AND year(o_orderdate) = 1998),
+WITH o AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS order_day FROM orders),
 q AS (SELECT CAST(l_shipdate AS DATE) AS ship_day, CAST(sum(l_quantity) AS BIGINT) AS quantity FROM lineitem GROUP BY 1),
 p AS (SELECT o_orderkey, ship_day, abs(ship_day - order_day) AS distance, quantity FROM o JOIN q ON abs(ship_day - order_day) <= 7),
 r AS (SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY distance, quantity DESC, ship_day) AS place FROM p)
@@ -282,14 +266,14 @@ WITH RECURSIVE e AS (
 ), w AS (SELECT 'r0' AS node, 0 AS depth UNION SELECT e.dst, w.depth + 1 FROM w JOIN e ON e.src = w.node)
 SELECT depth, count(*) AS nodes FROM (SELECT node, min(depth) AS depth FROM w GROUP BY 1) GROUP BY 1""",
     "part_components": """
-WITH RECURSIVE r AS (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity >= 49),
+WITH RECURSIVE r AS (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem),
 e AS (SELECT DISTINCT a.l_suppkey AS a, b.l_suppkey AS b FROM r a JOIN r b USING (l_partkey) WHERE a.l_suppkey <> b.l_suppkey),
 w AS (SELECT DISTINCT a AS node, a AS seen FROM e UNION SELECT w.node, e.b FROM w JOIN e ON e.a = w.seen)
 SELECT root, count(*) AS members FROM (SELECT node, min(seen) AS root FROM w GROUP BY 1) GROUP BY 1""",
     "moving_revenue": """
-WITH d AS (SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS n FROM orders GROUP BY 1)
-SELECT day, n, CAST(sum(n) OVER (PARTITION BY year(day) ORDER BY day RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW) AS BIGINT) AS week,
-       CAST(sum(n) OVER (PARTITION BY date_trunc('month', day) ORDER BY day ROWS UNBOUNDED PRECEDING) AS BIGINT) AS month_so_far FROM d""",
+WITH d AS (SELECT CAST(o_orderdate AS DATE) AS day, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS revenue FROM orders GROUP BY 1)
+SELECT day, CAST(revenue AS DOUBLE) AS revenue, CAST(sum(revenue) OVER (ORDER BY day RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW) AS DOUBLE) AS week,
+       CAST(sum(revenue) OVER (PARTITION BY date_trunc('month', day) ORDER BY day ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS month_so_far FROM d""",
     "latest_order_upsert": """
 SELECT o_custkey, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS last_order, arg_min(o_orderkey, (o_orderdate, o_orderkey)) AS first_order FROM orders GROUP BY 1""",
 }
