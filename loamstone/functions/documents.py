@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
+from urllib.parse import urljoin, urlsplit
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -61,6 +63,148 @@ def html_text(html: Column) -> Column:
     return convert(html)
 
 
+_VOID = {"meta", "link", "br", "hr", "img", "input", "source", "wbr", "area", "base", "col", "embed", "track"}
+_SELECTOR = re.compile(r"^(?P<tag>[a-z0-9]*)(?:#(?P<id>[^.\[@]+))?(?:\.(?P<cls>[^\[@]+))?(?:\[(?P<attr>[^=\]]+)(?:=(?P<value>[^\]]*))?\])?(?:@(?P<take>.+))?$")
+
+
+class _Select(HTMLParser):
+    """Texts (or attributes) of the elements that match each of a list of selectors, in document order."""
+
+    def __init__(self, selectors: list[str]):
+        super().__init__(convert_charrefs=True)
+        self.rules = [_SELECTOR.match(s).groupdict() for s in selectors]
+        self.found: list[list[str]] = [[] for _ in selectors]
+        self.open: list[tuple[str, list[tuple[int, _Text]]]] = []
+        self.active: list[_Text] = []
+
+    def _hits(self, tag: str, attrs: dict) -> Iterator[int]:
+        for i, r in enumerate(self.rules):
+            if r["tag"] and r["tag"] != tag or r["id"] and attrs.get("id") != r["id"] or r["cls"] and r["cls"] not in (attrs.get("class") or "").split():
+                continue
+            if r["attr"] and (r["attr"] not in attrs or r["value"] is not None and attrs[r["attr"]] != r["value"]):
+                continue
+            yield i
+
+    def handle_starttag(self, tag, attrs):
+        attrs = dict(attrs)
+        begun = []
+        for i in self._hits(tag, attrs):
+            take = self.rules[i]["take"]
+            if take:
+                self.found[i].append((attrs.get(take) or "").strip())
+            elif tag not in _VOID:
+                begun.append((i, _Text()))
+        for text in self.active:
+            text.handle_starttag(tag, attrs)
+        if tag not in _VOID:
+            self.open.append((tag, begun))
+            self.active += [t for _, t in begun]
+
+    def handle_endtag(self, tag):
+        for text in self.active:
+            text.handle_endtag(tag)
+        if tag not in [t for t, _ in self.open]:
+            return
+        while self.open:
+            name, begun = self.open.pop()
+            self._end(begun)
+            if name == tag:
+                break
+
+    def _end(self, begun):
+        for i, text in begun:
+            self.active.remove(text)
+            self.found[i].append(_lines("".join(text.parts)))
+
+    def handle_data(self, data):
+        for text in self.active:
+            text.handle_data(data)
+
+    def close(self):
+        super().close()
+        while self.open:
+            self._end(self.open.pop()[1])
+
+
+def _lines(text: str) -> str:
+    return "\n".join(x for x in (" ".join(y.split()) for y in text.split("\n")) if x)
+
+
+def selected_text(html: str | None, selectors: list[str], least: int = 1, whole: bool = False) -> str | None:
+    """The text of the first selector in the list that gives at least `least` characters; else the text of the whole page if
+    `whole`, or null. A selector is `tag#id.class[attribute=value]`, each part optional, with `@attribute` at its end for an
+    attribute in place of the text. Of several elements the first that is long enough counts."""
+    if html is None:
+        return None
+    parser = _Select(selectors)
+    parser.feed(html)
+    parser.close()
+    for texts in parser.found:
+        for text in texts:
+            if len(text) >= least:
+                return text
+    return text_of_html(html) if whole else None
+
+
+def html_field(html: Column, selectors: list[str], least: int = 1, whole: bool = False) -> Column:
+    """selected_text over a column, in Arrow batches."""
+
+    @F.pandas_udf("string")
+    def pick(values: pd.Series) -> pd.Series:
+        return values.map(lambda x: selected_text(x, selectors, least, whole), na_action="ignore")
+
+    return pick(html)
+
+
+class _Anchors(HTMLParser):
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.links: list[list[str]] = []
+        self.inside = False
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "a":
+            self.inside = bool(dict(attrs).get("href"))
+            if self.inside:
+                self.links.append([dict(attrs)["href"], ""])
+
+    def handle_endtag(self, tag):
+        if tag == "a":
+            self.inside = False
+
+    def handle_data(self, data):
+        if self.inside:
+            self.links[-1][1] += data
+
+
+def links_of_html(html: str | None, base: str) -> list[tuple[str, str]]:
+    """(address, anchor text) of a page's links to its own site, `www.` aside, resolved against its address, without
+    fragments and slashes at the end, each address once."""
+    parser = _Anchors()
+    parser.feed(html or "")
+    parser.close()
+    site = lambda u: urlsplit(u).netloc.lower().removeprefix("www.")
+    out: dict[str, str] = {}
+    for href, text in parser.links:
+        try:
+            url = urljoin(base, href.strip()).split("#")[0].rstrip("/")
+            if url.startswith("http") and site(url) == site(base):
+                out.setdefault(url, " ".join(text.split()))
+        except ValueError:  # an address that cannot be read is no link
+            continue
+    return list(out.items())
+
+
+def html_links(html: Column, base: Column) -> Column:
+    """links_of_html over columns: an array of (url, text)."""
+
+    @F.pandas_udf("array<struct<url:string,text:string>>")
+    def find(pages: pd.Series, bases: pd.Series) -> pd.Series:
+        return pd.Series([[{"url": u, "text": t} for u, t in links_of_html(p, b or "")] for p, b in zip(pages, bases, strict=True)])
+
+    return find(html, base)
+
+
 def first_object(text: str | None) -> str | None:
     """The first JSON object that can be read from any `{` on, in canonical form."""
     if not text:

@@ -136,3 +136,23 @@ def html_title(html: Column) -> Column:
     title = F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1)
     heading = F.regexp_extract(html, r"(?is)<h1[^>]*>(.*?)</h1>", 1)
     return F.nullif(collapsed(F.regexp_replace(F.coalesce(F.nullif(title, F.lit("")), heading), r"<[^>]+>", " ")), F.lit(""))
+
+
+def site_name(domain: Column) -> Column:
+    """A readable name of a domain: without its last label, `-` and `_` as spaces, words with capitals."""
+    return F.initcap(F.trim(F.regexp_replace(F.regexp_replace(domain, r"\.[^.]+$", ""), r"[-_.]+", " ")))
+
+
+def safe_name(name: Column) -> Column:
+    """A file name without the characters that file systems forbid."""
+    return F.regexp_replace(name, r'[<>:"/\\|?*]', "_")
+
+
+def paper_id(url: Column) -> Column:
+    """The number of an arXiv abstract's address, without its version; empty where there is none."""
+    return F.coalesce(F.regexp_extract(url, r"arxiv\.org/abs/([0-9]{4}\.[0-9]+)", 1), F.lit(""))
+
+
+def padded_id(value: Column, width: int = 10) -> Column:
+    """A number as text without leading zeros, then padded with zeros to its width."""
+    return F.lpad(F.regexp_replace(F.trim(value), "^0+", ""), width, "0")

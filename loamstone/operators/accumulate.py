@@ -13,12 +13,13 @@ def accumulated(
     stored: DataFrame | None, new: DataFrame, keys: list[str], sets: Sequence[str] = (), greatest: Sequence[str] = (), sums: Sequence[str] = (), first: Sequence[str] = (), order: str | None = None
 ) -> DataFrame:
     """One row per key after an upsert: `sets` (arrays) hold the sorted union of their elements, `greatest` the greatest
-    value, `sums` the sum, `first` the value of the least `order` (stored rows before new ones).
+    value, `sums` the sum, `first` the value of the least `order` (stored rows before new ones), which is kept as well.
 
     Elements are aggregated one by one, never as arrays of arrays: a key with very many rows is reduced on the map side to
     its different elements. Null arrays count as empty, null elements are left out; null counters count as 0.
     """
-    columns = [*keys, *sets, *greatest, *sums, *first, *([order] if order else [])]
+    first = [*first, *([order] if order and order not in first else [])]
+    columns = [*keys, *sets, *greatest, *sums, *first]
     both = new.select(*columns, F.lit(1).alias("_age"))
     if stored is not None:
         both = stored.select(*columns, F.lit(0).alias("_age")).unionByName(both)

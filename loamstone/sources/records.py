@@ -74,29 +74,68 @@ def exploded(df: DataFrame, arrays: dict[str, str]) -> DataFrame:
     return rows.select(*kept, "position", *[F.col("_row")[a].alias(n) for a, n in arrays.items()])
 
 
-def fetched(urls: DataFrame, url: str, domain: str, fetch: Callable[[str], str | None], pause: float = 0.5, partitions: int = 64) -> DataFrame:
+def with_header(header: Column, body: Column) -> Column:
+    """A text with the map's entries as `KEY: value` lines, a blank line, and the body: what header_of and body_of read."""
+    lines = F.transform(F.map_entries(header), lambda e: F.concat(F.upper(e["key"]), F.lit(": "), F.coalesce(F.regexp_replace(e["value"], r"\s*\n\s*", " "), F.lit(""))))
+    return F.concat(F.array_join(lines, "\n"), F.lit("\n\n"), F.coalesce(body, F.lit("")))
+
+
+def meta_rows(spark: SparkSession, path: str, row: str) -> DataFrame:
+    """Rows of JSON answers of the form `[page, [row, ...]]`, one answer per file, in a row type given as DDL; answers of
+    another form and null rows are left out."""
+    texts = spark.read.text(path, wholetext=True).select(F.get_json_object("value", "$[1]").alias("rows"))
+    rows = texts.select(F.explode(F.from_json("rows", f"array<struct<{row}>>")).alias("r")).where("r IS NOT NULL")
+    return rows.select("r.*")
+
+
+def parallel_rows(spark: SparkSession, path: str, at: str, fields: dict[str, str]) -> DataFrame:
+    """Rows of JSON answers that hold their columns as parallel arrays of texts under the object at the path `at`, one answer
+    per file; `fields` names the arrays and the columns they become."""
+    kind = "struct<" + ", ".join(f"{k}: array<string>" for k in fields) + ">"
+    texts = spark.read.text(path, wholetext=True).select(F.from_json(F.get_json_object("value", at), kind).alias("o")).where("o IS NOT NULL")
+    return exploded(texts.select("o.*"), fields)
+
+
+def requeued(queue: DataFrame, results: DataFrame, url: str = "url") -> DataFrame:
+    """What stays in a queue after a run: the items that failed or were not tried, each address once. results has the
+    address and an `error` that is null where it went well; of several tries one that went well is enough."""
+    done = results.where("error IS NULL").select(url).distinct()
+    return queue.where(F.col(url).isNotNull()).join(done, url, "left_anti").dropDuplicates([url])
+
+
+def fetched(
+    urls: DataFrame, url: str, domain: str, fetch: Callable[[str], str | None], pause: float = 0.5, partitions: int = 64, attempts: int = 3, backoff: float = 2.0
+) -> DataFrame:
     """(url, body, error): each address through `fetch`, at most one request per domain and `pause` seconds.
 
-    Rows are divided by domain, so a domain's requests are made in turn by one task. A failure gives a null body and its
-    message, and the job goes on.
+    Rows are divided by domain, so a domain's requests are made in turn by one task. A failed request is made again, up to
+    `attempts` times, after waits of backoff, 2 * backoff, ... seconds; an exception whose `code` or `status` is 400 to 499
+    says that the request itself is wrong and is not repeated. What fails at last gives a null body and its message, and the
+    job goes on.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import time
 
         last: dict[str, float] = {}
-        for batch in batches:
-            out = []
-            for u, d in zip(batch["url"], batch["domain"], strict=True):
+
+        def tried(u: str, d: str) -> tuple[str, str | None, str | None]:
+            for k in range(1, attempts + 1):
                 wait = last.get(d, 0.0) + pause - time.monotonic()
                 if wait > 0:
                     time.sleep(wait)
                 last[d] = time.monotonic()
                 try:
-                    out.append((u, fetch(u), None))
+                    return u, fetch(u), None
                 except Exception as e:  # noqa: BLE001 (any failure is a row)
-                    out.append((u, None, str(e)))
-            yield pd.DataFrame(out, columns=["url", "body", "error"])
+                    code = getattr(e, "code", None) or getattr(e, "status", None)
+                    if k == attempts or isinstance(code, int) and 400 <= code < 500:
+                        return u, None, str(e)
+                    time.sleep(backoff * 2 ** (k - 1))
+            raise AssertionError
+
+        for batch in batches:
+            yield pd.DataFrame([tried(u, d) for u, d in zip(batch["url"], batch["domain"], strict=True)], columns=["url", "body", "error"])
 
     rows = urls.select(F.col(url).alias("url"), F.col(domain).alias("domain")).repartition(partitions, "domain")
     return rows.mapInPandas(run, "url string, body string, error string")
