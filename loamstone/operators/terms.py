@@ -21,13 +21,10 @@ def cooccurrence(df: DataFrame, key: str, terms: Column, vocabulary: DataFrame)
 
 
 def occurrences(df: DataFrame, text: Column, vocabulary: list[str]) -> DataFrame:
-    """(term, occurrences): how often each term of a list occurs as a whole word in all texts, in any letter case. Two
-    occurrences need a character between them that is no part of a word, one of their own each. Null texts count for none;
-    a term that never occurs has 0. One pass over the texts, whatever the number of terms; a partition gives one row."""
-    low = F.lower(text)
-    import re
-
-    count = lambda t: F.regexp_count(low, F.lit(rf"(?:^|[^\p{{L}}\p{{N}}_]){re.escape(t.lower())}(?:$|[^\p{{L}}\p{{N}}_])"))
-    sums = df.where(text.isNotNull()).agg(*[F.coalesce(F.sum(count(t)), F.lit(0)).alias(f"c{i}") for i, t in enumerate(vocabulary)])
-    pairs = F.array(*[F.struct(F.lit(t).alias("term"), F.col(f"c{i}").alias("occurrences")) for i, t in enumerate(vocabulary)])
-    return sums.select(F.inline(pairs))
+    """(term, occurrences): how often each word of a list occurs as a whole word in all texts, in any letter case. Null texts
+    count for none; a word that never occurs has 0. Texts are divided into words once, whatever the length of the list."""
+    words = F.split(F.lower(text), r"[^\p{L}\p{N}_]+")
+    wanted = F.array(*[F.lit(t.lower()) for t in vocabulary])
+    found = df.select(F.explode(F.filter(words, lambda w: F.array_contains(wanted, w))).alias("term")).groupBy("term").agg(F.count("*").alias("n"))
+    listed = df.sparkSession.createDataFrame([(t.lower(),) for t in vocabulary], "term string").distinct()
+    return listed.join(found, "term", "left").select("term", F.coalesce("n", F.lit(0)).alias("occurrences"))

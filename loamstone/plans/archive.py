@@ -421,8 +421,9 @@ SELECT watchlist, id, matched, coalesce(blocked, 0) AS blocked FROM m JOIN d USI
 WITH {_ONE}, t AS (SELECT DISTINCT {_D} AS domain, unnest(tags) AS tag FROM one), s AS (SELECT domain, list(tag) AS tags FROM t WHERE domain IS NOT NULL AND tag IS NOT NULL GROUP BY 1)
 SELECT * FROM (SELECT a.domain, b.domain AS other, CAST(len(list_intersect(a.tags, b.tags)) * 100 // len(list_distinct(a.tags || b.tags)) AS INT) AS percent FROM s a JOIN s b ON a.domain < b.domain) WHERE percent >= 90""",
     "term_occurrences": rf"""
-WITH t(term) AS (VALUES {", ".join(f"('{t}')" for t in sorted({t for w in WATCHLISTS for t in (*w[1], *w[3])}))})
-SELECT term, CAST(sum(len(regexp_extract_all(lower(text), '(?:^|[^\p{{L}}\p{{N}}_])' || term || '(?:$|[^\p{{L}}\p{{N}}_])'))) AS BIGINT) AS occurrences FROM t, documents WHERE text IS NOT NULL GROUP BY 1""",
+WITH t(term) AS (VALUES {", ".join(f"('{t}')" for t in sorted({t for w in WATCHLISTS for t in (*w[1], *w[3])}))}),
+w AS (SELECT unnest(regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]+')) AS term FROM documents)
+SELECT term, count(w.term) AS occurrences FROM t LEFT JOIN w USING (term) GROUP BY 1""",
     "common_names": f"""
 WITH {_ONE}, n AS (SELECT event_type, topic, count(*) AS n, min(id) AS p FROM one WHERE event_type IS NOT NULL AND topic <> '' GROUP BY 1, 2)
 SELECT event_type, arg_min(topic, (-n, p)) AS topic FROM n GROUP BY 1""",
