@@ -120,7 +120,43 @@ def p9_pages(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p2_text": p2_text, "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p6_groups": p6_groups, "p7_ids": p7_ids, "p8_mix": p8_mix, "p8_shares": p8_shares, "p8_tempered_shares": p8_tempered_shares, "p8_entropy_shares": p8_entropy_shares, "p9_found": p9_found, "p9_pages": p9_pages}
 
+_SETS = r"""
+    SELECT tid, unnest(list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) AS token
+    FROM (SELECT tid, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM texts)"""
+_DIGEST = f"nullif(nullif(lower(trim(regexp_replace(content_hash, '^\\s*[A-Za-z0-9_-]+:', ''))), ''), '{incremental.EMPTY_SHA256}')"
+
+
+def _batch_cases(last: int = 6) -> str:
+    """The cases of each batch in turn, after the batches before it."""
+    out = []
+    for k in range(1, last + 1):
+        past = " UNION ALL ".join(f"SELECT id FROM c{j}" for j in range(1, k)) or "SELECT NULL"
+        fresh = f"SELECT * FROM inc WHERE batch < {k} AND id NOT IN (SELECT id FROM ({past}) WHERE id IS NOT NULL)"
+        out.append(f"""c{k} AS (SELECT DISTINCT id FROM inc WHERE batch = {k} AND (digest IN (FROM known) OR tid IN (SELECT a FROM near WHERE old)
+    OR digest IN (SELECT digest FROM ({fresh}) WHERE digest IS NOT NULL) OR tid IN (SELECT a FROM near WHERE b IN (SELECT tid FROM ({fresh}) WHERE tid IS NOT NULL))))""")
+    return ",\n".join(out) + "\n" + " UNION ".join(f"SELECT id FROM c{k}" for k in range(1, last + 1))
+
+
 SQL = {
+    "p1_found": f"""
+WITH acc AS (SELECT DISTINCT source.url AS url, summary FROM research_record WHERE status = 'accepted'),
+raws AS (SELECT DISTINCT id, coalesce(batch_no, 1) AS batch, {_DIGEST} AS digest, summary FROM incoming_record WHERE id IS NOT NULL),
+known AS (SELECT DISTINCT {_DIGEST} AS digest FROM seen_urls WHERE url IN (SELECT url FROM acc) AND {_DIGEST} IS NOT NULL),
+texts AS MATERIALIZED (SELECT row_number() OVER () AS tid, text, bool_or(old) AS old, bool_or(NOT old) AS new
+    FROM (SELECT summary AS text, true AS old FROM acc UNION ALL SELECT summary, false FROM raws) WHERE text IS NOT NULL GROUP BY text),
+inc AS (SELECT id, batch, digest, tid FROM raws LEFT JOIN texts ON texts.text = raws.summary),
+s AS MATERIALIZED ({_SETS}), n AS (SELECT tid, count(*) AS n FROM s GROUP BY 1),
+shared AS (SELECT x.tid AS a, y.tid AS b, count(*) AS c FROM s x JOIN s y USING (token) WHERE x.tid IN (SELECT tid FROM texts WHERE new) GROUP BY 1, 2),
+near AS MATERIALIZED (SELECT a, b, texts.old FROM shared JOIN n x ON x.tid = a JOIN n y ON y.tid = b JOIN texts ON texts.tid = b WHERE 3 * c >= x.n + y.n),
+{_batch_cases()}""",
+    "p6_found": f"""
+WITH RECURSIVE r AS (SELECT DISTINCT id, concat_ws(' ', title, summary) AS text FROM research_record WHERE id IS NOT NULL AND regexp_matches(summary, '[^\\s\\p{{Z}}]')),
+texts AS MATERIALIZED (SELECT row_number() OVER () AS tid, text FROM r GROUP BY text), s AS MATERIALIZED ({_SETS}), n AS (SELECT tid, count(*) AS n FROM s GROUP BY 1),
+shared AS (SELECT x.tid AS a, y.tid AS b, count(*) AS c FROM s x JOIN s y USING (token) GROUP BY 1, 2),
+e AS MATERIALIZED (SELECT a, b FROM shared JOIN n x ON x.tid = a JOIN n y ON y.tid = b WHERE 3 * c >= x.n + y.n),
+w AS (SELECT a AS node, b AS seen FROM e UNION SELECT w.node, e.b FROM w JOIN e ON e.a = w.seen),
+g AS (SELECT id, min(seen) AS root FROM r JOIN texts USING (text) JOIN w ON w.node = tid GROUP BY id, tid)
+SELECT DISTINCT a.id AS id_a, b.id AS id_b FROM g a JOIN g b USING (root) WHERE a.id < b.id""",
     "p3_found": r"""
 WITH RECURSIVE long AS (SELECT raw_id, content AS c, length(content) AS n FROM raw WHERE length(content) > 4000),
 p AS (
