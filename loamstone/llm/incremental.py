@@ -36,6 +36,8 @@ COMMON, COMMON_SHARE = 5_000, 100
 BROADCAST_POSTINGS = 1_000_000
 #: Digest of empty content, which names no content.
 EMPTY_SHA256 = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
+#: The number of the history's batch, before all others.
+HISTORY = -(2**31)
 _BITS = ["b0", "b1", "b2", "b3"]
 _POSTING = "token int, node long, size int, rank int, b0 long, b1 long, b2 long, b3 long"
 
@@ -179,7 +181,7 @@ class PrefixIndex:
         return out, max(COMMON, texts // COMMON_SHARE)
 
     def start(self, history: DataFrame, text: Column) -> None:
-        """Fixes the order of tokens from the history and adds its texts as batch 0. Equal texts are one."""
+        """Fixes the order of tokens from the history and adds its texts as the batch HISTORY. Equal texts are one."""
         sets = shingled(history.select(text.alias("_t")).withColumn("key", F.lit(0)), "key", F.col("_t"), self.width)
         sets = stored(sets.select("node", "codes", F.monotonically_increasing_id().alias("uid")), "history")
         texts = one_per_text(sets).select("node", "codes")
@@ -187,7 +189,7 @@ class PrefixIndex:
         used = np.flatnonzero(counts)
         order = pa.table({"bucket": np.append(used, -1), "n": np.append(counts[used], sets.count())})
         self.spark.createDataFrame(order).coalesce(1).write.mode("overwrite").parquet(f"{self.folder}/order")
-        self._write(texts, self._postings(texts), 0)
+        self._write(texts, self._postings(texts), HISTORY)
 
     def _postings(self, texts: DataFrame) -> DataFrame:
         counts, limit = self._order
@@ -200,12 +202,22 @@ class PrefixIndex:
         writer = rows.write.mode("overwrite").partitionBy("rest", "part").option("compression", "zstd")
         writer.parquet(f"{self.folder}/postings/batch={number}")
 
-    def stage(self, batch: DataFrame, key: str, text: Column, number: int) -> Staged:
-        """The batch's texts and postings, computed once for the probe and for append()."""
-        sets = stored(shingled(batch, key, text, self.width), "batch")
+    def stage(self, batches: DataFrame, key: str, text: Column, number: str) -> dict[int, Staged]:
+        """Texts and postings of pending batches by their number (an int column), computed once for all of them."""
+        record = F.struct(F.col(key).alias("key"), F.col(number).alias("number"), text.alias("text"))
+        sets = shingled(batches.select(record.alias("r")), "r", F.col("r.text"), self.width)
+        sets = stored(sets.select("key.key", "key.number", "node", "codes"), "batches")
         rows = stored(self._postings(sets.groupBy("node").agg(F.first("codes").alias("codes"))), "postings")
-        hit = rows.groupBy("part").agg(F.count("*").alias("n"), F.count_if(F.col("common") > 0).alias("c")).collect()  # a row per part
-        return Staged(number, sets.select("key", "node", "codes"), rows, sorted(r.part for r in hit), sum(r.n for r in hit), sum(r.c for r in hit))
+        nodes = stored(sets.select("number", "node").distinct(), "nodes")
+        hit = nodes.join(rows.select("node", "part", "common"), "node").groupBy("number", "part")
+        hit = hit.agg(F.count("*").alias("n"), F.count_if(F.col("common") > 0).alias("c")).collect()  # a row per batch and part
+        out = {}
+        for k in {r.number for r in hit}:
+            own = [r for r in hit if r.number == k]
+            here = sets.where(F.col("number") == k).select("key", "node", "codes")
+            mine = rows.join(nodes.where(F.col("number") == k).select("node"), "node", "left_semi")
+            out[k] = Staged(k, here, mine, sorted(r.part for r in own), sum(r.n for r in own), sum(r.c for r in own))
+        return out
 
     def postings_read(self, staged: Staged, rest: int) -> DataFrame:
         """The postings of earlier batches in the parts that the batch's tokens fall on."""
@@ -248,33 +260,38 @@ def repeated_records(
     sent twice is one record; a null key names no record; a null batch counts as
     batch 1. Empty tables on any side give what the others imply.
 
-    The accepted texts start the index (one that is given and already started is taken as it is); each batch in turn then
-    probes it, and its records that are no cases are appended, so that later batches meet them. Per batch, only the
-    postings of its own tokens are read.
+    The accepted texts start the index; each batch in turn then probes it, and its records that are no cases are appended
+    under the batch's number, so that later batches meet them. Per batch, only the postings of its own tokens are read. An
+    `index` that is given and already started is taken as it is, whatever `accepted` holds, and keeps the last batch too;
+    digests that were accepted since must then be in `digests`.
     """
     spark = incoming.sparkSession
     rows = incoming.select(F.col(key).alias("key"), F.coalesce(F.col(batch).cast("int"), F.lit(1)).alias("batch"), plain_digest(F.col(digest)).alias("digest"), F.col(text).alias("text")).where("key IS NOT NULL")
+    kept = index is not None
     if index is None:
         index = PrefixIndex(spark, owned(f"{shared_dir(spark)}/index-{uuid.uuid4().hex}"), threshold, width)
         index.start(accepted, F.col(text))
-    known = digests.select(plain_digest(F.col(digest)).alias("digest")).where("digest IS NOT NULL").distinct()
-    known = checkpointed(known.join(rows.select("digest"), "digest", "left_semi"))  # those that any batch asks for
+    numbers = [r.batch for r in rows.select("batch").distinct().orderBy("batch").collect()]  # one row per pending batch
+    if not numbers:
+        return rows.select("key").toDF(key)
+    rows = rows.withColumnRenamed("batch", "number")
+    hashed = checkpointed(rows.select("key", "number", "digest").where("digest IS NOT NULL").distinct())
+    known = digests.select(plain_digest(F.col(digest)).alias("digest")).where("digest IS NOT NULL")
+    known = checkpointed(known.join(hashed, "digest", "left_semi").distinct())  # those that any batch asks for
+    waiting = index.stage(rows, "key", F.col("text"), "number")
     cases: DataFrame | None = None
-    # one row per pending batch; their numbers only order them, and the history is batch 0
-    for number, row in enumerate(rows.select("batch").distinct().orderBy("batch").collect(), 1):
-        own = rows.where(F.col("batch") == row.batch)
-        staged = index.stage(own, "key", F.col("text"), number)
-        found = index.similar(staged)
-        hashed = own.select("key", "digest").where("digest IS NOT NULL")
-        new = staged.sets.join(found, "node", "left_semi").select("key").union(hashed.join(known, "digest", "left_semi").select("key")).distinct()
-        new = checkpointed(new if cases is None else new.join(cases, "key", "left_anti"))
+    for number in numbers:
+        own, past = hashed.where(F.col("number") == number), hashed.where(F.col("number") < number)
+        fresh = past if cases is None else past.join(cases, "key", "left_anti")
+        new = own.join(known.union(fresh.select("digest")), "digest", "left_semi").select("key")
+        staged = waiting.get(number)
+        if staged is not None:
+            new = new.union(staged.sets.join(index.similar(staged), "node", "left_semi").select("key"))
+        new = checkpointed(new.distinct())
         cases = new if cases is None else cases.union(new)
-        fresh = own.select("key").distinct().join(cases, "key", "left_anti")
-        index.append(staged, fresh)
-        known = checkpointed(known.union(hashed.join(cases, "key", "left_anti").select("digest")).distinct())
-    if cases is None:
-        return rows.select("key").toDF(key)
-    return cases.select(F.col("key").alias(key))
+        if staged is not None and (kept or number != numbers[-1]):  # nothing meets the last batch of an index that is not kept
+            index.append(staged, staged.sets.select("key").distinct().join(cases, "key", "left_anti"))
+    return cases.distinct().select(F.col("key").alias(key))
 
 
 def open_index(spark: SparkSession, name: str, **options) -> PrefixIndex:

@@ -76,7 +76,7 @@ def test_index_grows(spark):
     index.start(history, F.col("t"))
     first = [("a", texts[3] + " extra"), ("b", fresh())]
     batch = spark.createDataFrame(first, "id string, t string")
-    staged = index.stage(batch, "id", F.col("t"), 1)
+    staged = index.stage(batch.withColumn("k", F.lit(1)), "id", F.col("t"), "k")[1]
     found = index.similar(staged)
     hit = staged.sets.join(found, "node", "left_semi").select("key")
     assert [r.key for r in hit.collect()] == ["a"]
@@ -87,16 +87,32 @@ def test_index_grows(spark):
     index.append(staged, batch.select(F.col("id").alias("key")).join(hit, "key", "left_anti"))
     assert size() == before
     small = spark.createDataFrame([("d", "nothing like it at all")], "id string, t string")
-    later = index.stage(small.union(spark.createDataFrame([("c", first[1][1] + " more words")], "id string, t string")), "id", F.col("t"), 2)
+    later = index.stage(small.union(spark.createDataFrame([("c", first[1][1] + " more words")], "id string, t string")).withColumn("k", F.lit(2)), "id", F.col("t"), "k")[2]
     assert [r.key for r in later.sets.join(index.similar(later), "node", "left_semi").collect()] == ["c"]
     # only the folders of the batch's tokens are read
-    few = index.stage(small, "id", F.col("t"), 3)
+    few = index.stage(small.withColumn("k", F.lit(3)), "id", F.col("t"), "k")[3]
     read = {r[0].split("part=")[1].split("/")[0] for r in index.postings_read(few, 0).select(F.input_file_name()).distinct().collect()}
     assert len(few.parts) <= 3 and read <= {str(p) for p in few.parts}
     filters = next(x for x in index.postings_read(few, 0)._jdf.queryExecution().executedPlan().toString().split("\n") if "PartitionFilters" in x)
     assert "part#" in filters.split("PartitionFilters")[1]
 
 
+def test_kept_index(spark):
+    """Batches that come in separate calls over a kept index give what they give in one call."""
+    accepted, digests, incoming = data(3)
+    want = walk(accepted, digests, [(b, i, None if h == incremental.EMPTY_SHA256 else h, t) for b, i, h, t in incoming])
+    text_only = walk(accepted, [], [(b, i, None, t) for b, i, _, t in incoming])
+    a = spark.createDataFrame([(t,) for t in accepted], "summary string")
+    d = spark.createDataFrame([], "content_hash string")
+    new = spark.createDataFrame([(b, i, None, t) for b, i, _, t in incoming], "batch_no int, id string, content_hash string, summary string")
+    index = incremental.open_index(spark, f"index-{uuid.uuid4().hex}")
+    index.start(a, F.col("summary"))
+    got = set()
+    for k in (1, 2, 2, 3, 4):  # one batch comes twice
+        got |= {r.id for r in incremental.repeated_records(a, new.where(F.col("batch_no") == k), d, index=index).collect()}
+    assert got == text_only and len(want) >= len(text_only) > 20
+
+
 def test_bounds_lose_no_pair():
     """Every similar pair passes the bound of the bitmaps."""
     rng = np.random.default_rng(4)
