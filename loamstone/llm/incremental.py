@@ -79,7 +79,7 @@ def bitmaps(codes: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
 
 
 def postings(sets: DataFrame, counts: np.ndarray, threshold: float, limit: int, parts: int) -> DataFrame:
-    """The postings of the prefixes of (node, codes), with `part` (of the token) and `common`: 0 for a token of at most
+    """The postings of the prefixes of (node, codes, number), with `number`, `part` (of the token) and `common`: 0 for a token of at most
     `limit` occurrences in the history, 1 for one of the about `limit` texts (chosen by their hash) with which a common
     token is met first, 2 for the others of a common token."""
     shared = sets.sparkSession.sparkContext.broadcast(counts.astype(np.int32))
@@ -107,12 +107,12 @@ def postings(sets: DataFrame, counts: np.ndarray, threshold: float, limit: int,
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(token), batch.column(0).take(pa.array(row)), pa.array(n[row].astype(np.int32)), pa.array(rank.astype(np.int32)),
-                    *[_long(b[row]) for b in bitmaps(codes, offsets)], pa.array(common), pa.array(place),
+                    *[_long(b[row]) for b in bitmaps(codes, offsets)], pa.array(common), pa.array(place), batch.column(2).take(pa.array(row)),
                 ],
-                ["token", "node", "size", "rank", *_BITS, "common", "part"],
+                ["token", "node", "size", "rank", *_BITS, "common", "part", "number"],
             )
 
-    return sets.select("node", "codes").mapInArrow(make, f"{_POSTING}, common tinyint, part int")
+    return sets.select("node", "codes", "number").mapInArrow(make, f"{_POSTING}, common tinyint, part int, number int")
 
 
 def probe(index: DataFrame, batch: DataFrame, threshold: float) -> DataFrame:
@@ -189,7 +189,7 @@ class PrefixIndex:
         used = np.flatnonzero(counts)
         order = pa.table({"bucket": np.append(used, -1), "n": np.append(counts[used], sets.count())})
         self.spark.createDataFrame(order).coalesce(1).write.mode("overwrite").parquet(f"{self.folder}/order")
-        self._write(texts, self._postings(texts), HISTORY)
+        self._write(texts, self._postings(texts.withColumn("number", F.lit(HISTORY))), HISTORY)
 
     def _postings(self, texts: DataFrame) -> DataFrame:
         counts, limit = self._order
@@ -197,7 +197,7 @@ class PrefixIndex:
 
     def _write(self, texts: DataFrame, rows: DataFrame, number: int) -> None:
         texts.write.mode("overwrite").option("compression", "zstd").parquet(f"{self.folder}/sets/batch={number}")
-        rows = rows.withColumn("rest", (F.col("common") == 2).cast("int")).drop("common").sortWithinPartitions("rest", "part", "token")
+        rows = rows.withColumn("rest", (F.col("common") == 2).cast("int")).drop("common", "number").sortWithinPartitions("rest", "part", "token")
         # every task writes its own files of each part: nothing is shuffled, whatever the size of a part or a token
         writer = rows.write.mode("overwrite").partitionBy("rest", "part").option("compression", "zstd")
         writer.parquet(f"{self.folder}/postings/batch={number}")
@@ -207,15 +207,14 @@ class PrefixIndex:
         record = F.struct(F.col(key).alias("key"), F.col(number).alias("number"), text.alias("text"))
         sets = shingled(batches.select(record.alias("r")), "r", F.col("r.text"), self.width)
         sets = stored(sets.select("key.key", "key.number", "node", "codes"), "batches")
-        rows = stored(self._postings(sets.groupBy("node").agg(F.first("codes").alias("codes"))), "postings")
-        nodes = stored(sets.select("number", "node").distinct(), "nodes")
-        hit = nodes.join(rows.select("node", "part", "common"), "node").groupBy("number", "part")
-        hit = hit.agg(F.count("*").alias("n"), F.count_if(F.col("common") > 0).alias("c")).collect()  # a row per batch and part
+        texts = sets.groupBy("number", "node").agg(F.first("codes").alias("codes"))
+        rows = stored(self._postings(texts), "postings", ["number"])
+        hit = rows.groupBy("number", "part").agg(F.count("*").alias("n"), F.count_if(F.col("common") > 0).alias("c")).collect()  # a row per batch and part
         out = {}
         for k in {r.number for r in hit}:
             own = [r for r in hit if r.number == k]
             here = sets.where(F.col("number") == k).select("key", "node", "codes")
-            mine = rows.join(nodes.where(F.col("number") == k).select("node"), "node", "left_semi")
+            mine = rows.where(F.col("number") == k)
             out[k] = Staged(k, here, mine, sorted(r.part for r in own), sum(r.n for r in own), sum(r.c for r in own))
         return out
 
@@ -233,7 +232,7 @@ class PrefixIndex:
         return found
 
     def _linked(self, staged: Staged, rows: DataFrame, rest: int) -> DataFrame:
-        rows = rows.drop("common", "part")
+        rows = rows.drop("common", "part", "number")
         small = F.broadcast(rows) if staged.rows <= BROADCAST_POSTINGS else rows
         pairs = checkpointed(probe(self.postings_read(staged, rest), small, self.threshold))
         known = self.spark.read.schema("node long, codes array<int>, batch int").parquet(f"{self.folder}/sets").where(F.col("batch") < staged.number)
