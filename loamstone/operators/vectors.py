@@ -11,19 +11,24 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-def nearest(queries: DataFrame, vectors: DataFrame, key: str, vector: str, k: int = 5, block: int = 4096) -> DataFrame:
+#: Bytes of the query vectors that are held at once by the driver and every executor, and queries in a matrix product.
+HELD, PRODUCT = 64_000_000, 2048
+
+
+def nearest(queries: DataFrame, vectors: DataFrame, key: str, vector: str, k: int = 5, block: int | None = None) -> DataFrame:
     """(query, key, score, rank): for every query row the k vectors of highest cosine other than itself.
 
-    Queries are divided into blocks of about `block` rows. Every partition of the vectors is met by every block once:
-    a matrix product gives its k best candidates per query, and only these are shuffled and ranked. So the data that
-    move are queries times partitions times k rows, never all pairs. Ties go to the smaller key. Null and zero vectors
-    take no part. The queries are held by each executor in turn, one block at a time.
+    Queries are divided into blocks of about `block` rows, by default as many as HELD bytes hold, and the vectors are scanned
+    once per block. Every partition of the vectors gives its k best candidates per query by matrix products, and only these
+    are shuffled and ranked. So the data that move are queries times partitions times k rows, never all pairs. Ties go to
+    the smaller key. Null and zero vectors take no part.
     """
     wanted = queries.select(F.col(key).alias("q"), F.col(vector).cast("array<float>").alias("v")).where("v IS NOT NULL")
-    count = wanted.count()
+    count, width = wanted.agg(F.count("*"), F.max(F.size("v"))).first()
+    blocks = max(1, -(-count // (block or max(PRODUCT, HELD // (8 * max(1, width or 1))))))
     out = None
-    for b in range(max(1, -(-count // block))):
-        part = wanted.where(F.pmod(F.xxhash64("q"), F.lit(max(1, -(-count // block)))) == b).toArrow()
+    for b in range(blocks):
+        part = wanted.where(F.pmod(F.xxhash64("q"), F.lit(blocks)) == b).toArrow()
         found = _block(part, vectors, key, vector, k)
         out = found if out is None else out.union(found)
     rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "key"))
@@ -48,14 +53,16 @@ def _block(part: pa.Table, vectors: DataFrame, key: str, vector: str, k: int) ->
                 continue
             own, keys = _unit(batch.column(1)), batch.column(0).to_numpy()
             alive = np.abs(own).sum(1) > 0
-            scores = matrix @ own.T
-            scores[:, ~alive] = -np.inf
-            scores[ids[:, None] == keys[None, :]] = -np.inf
-            n = min(k, scores.shape[1])
-            # everything not below the k-th best, so that ties are settled by the ranking
-            floor = np.partition(scores, -n, axis=1)[:, -n][:, None]
-            q, j = np.nonzero((scores >= floor) & np.isfinite(scores))
-            yield pa.RecordBatch.from_arrays([pa.array(ids[q]), pa.array(keys[j]), pa.array(scores[q, j])], ["query", "key", "score"])
+            for lo in range(0, len(ids), PRODUCT):
+                some = ids[lo : lo + PRODUCT]
+                scores = matrix[lo : lo + PRODUCT] @ own.T
+                scores[:, ~alive] = -np.inf
+                scores[some[:, None] == keys[None, :]] = -np.inf
+                n = min(k, scores.shape[1])
+                # everything not below the k-th best, so that ties are settled by the ranking
+                floor = np.partition(scores, -n, axis=1)[:, -n][:, None]
+                q, j = np.nonzero((scores >= floor) & np.isfinite(scores))
+                yield pa.RecordBatch.from_arrays([pa.array(some[q]), pa.array(keys[j]), pa.array(scores[q, j])], ["query", "key", "score"])
 
     kind = vectors.schema[key].dataType.simpleString()
     rows = vectors.select(F.col(key), F.col(vector).cast("array<float>").alias("v")).where("v IS NOT NULL")

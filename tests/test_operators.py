@@ -95,6 +95,14 @@ def test_nearest_with_ties_nulls_and_zeros(spark):
     assert sorted(got) == [(1, 2, 1), (1, 3, 2)]
 
 
+def test_nearest_in_blocks(spark, data, monkeypatch):
+    rows = spark.read.parquet(f"{data}/embeddings.parquet")
+    ask = lambda **o: sorted((r.query, r.key, r["rank"]) for r in vectors.nearest(rows.where("vec_id % 7 = 0"), rows, "vec_id", "embedding", 3, **o).collect())
+    whole = ask()
+    monkeypatch.setattr(vectors, "PRODUCT", 5)
+    assert whole and ask() == whole and ask(block=9) == whole
+
+
 def test_texts(spark):
     rows = [("  Hello,   World! ", "https://user@WWW.Site.example:80/a b/c?x", "see http://x.example/a). and https://y.example/b!")]
     df = spark.createDataFrame(rows, "a string, u string, t string")
