@@ -52,7 +52,8 @@ def pieces_of(text: str, limit: int = 4000, least: int = 2000, overlap: int = 20
     levels = _levels(codes)
     cuts = np.unique(np.concatenate([[overlap], *levels]))
     nodes = cuts[(cuts >= overlap) & (cuts < size)] - overlap
-    # starts after a hard cut are no boundaries; they are added until every successor is a node
+    # starts after a hard cut are no boundaries; they are added until every successor is a node. Where no boundary comes for
+    # long, hard cuts follow one another at a fixed distance, and the whole run is added at once
     new = nodes
     ends = _successors(nodes, size, levels, limit, least)
     new_ends = ends
@@ -61,6 +62,12 @@ def pieces_of(text: str, limit: int = 4000, least: int = 2000, overlap: int = 20
         missing = target[~np.isin(target, nodes, assume_unique=True)]
         if not len(missing):
             break
+        at = np.searchsorted(cuts, missing + least)
+        legal = np.where(at < len(cuts), cuts[np.minimum(at, len(cuts) - 1)], size)
+        run = np.maximum(0, -(-(np.minimum(legal, size) - limit - missing) // (limit - overlap))) + 1
+        step = np.arange(run.sum()) - np.repeat(np.cumsum(run) - run, run)
+        missing = np.unique(np.repeat(missing, run) + step * (limit - overlap))
+        missing = missing[(missing < size) & ~np.isin(missing, nodes, assume_unique=True)]
         new, new_ends = missing, _successors(missing, size, levels, limit, least)
         order = np.argsort(nodes := np.concatenate([nodes, new]), kind="stable")
         nodes, ends = nodes[order], np.concatenate([ends, new_ends])[order]
