@@ -1,8 +1,8 @@
-"""First-come deduplication over several keys, and folds in a fixed order."""
+"""First-come deduplication over several keys, and walks in a fixed order."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -18,7 +18,7 @@ def survivors(df: DataFrame, key: str, order: str, levels: list[str]) -> DataFra
 
     Only survivors register their values, so a row that falls on one level does not hide others on the next: this is
     a walk in `order`, not a row_number per level. Rows that share no value with any other survive at once in the JVM.
-    The rest is divided into components of shared values, and each is walked in its own task. Null values never match.
+    The rest is divided into components of shared values, and each is walked in order. Null values never match.
     """
     values = df.select(F.col(key).alias("key"), F.col(order).alias("order"), *[F.col(c).cast("string") for c in levels])
     long = values.select("key", F.inline(F.array(*[F.struct(F.lit(c).alias("level"), F.col(c).alias("value")) for c in levels]))).where("value IS NOT NULL")
@@ -28,31 +28,47 @@ def survivors(df: DataFrame, key: str, order: str, levels: list[str]) -> DataFra
     shared = values.join(rooted, "key")
     kind = df.schema[key].dataType.simpleString()
 
-    def walk(rows: pd.DataFrame) -> pd.DataFrame:
+    def begin() -> Callable[[dict], tuple]:
         seen: dict[str, set] = {c: set() for c in levels}
-        out = []
-        for row in rows.sort_values(["order", "key"]).to_dict("records"):
+
+        def step(row: dict) -> tuple:
             hit = next((c for c in levels if row[c] is not None and row[c] in seen[c]), None)
             if hit is None:
                 for c in levels:
                     if row[c] is not None:
                         seen[c].add(row[c])
-            out.append((row["key"], hit))
-        return pd.DataFrame(out, columns=["key", "duplicate_of_level"])
+            return row["key"], hit
+
+        return step
 
-    walked = shared.groupBy("root").applyInPandas(walk, f"key {kind}, duplicate_of_level string")
+    walked = ordered_walk(shared, ["root"], ["order", "key"], begin, f"key {kind}, duplicate_of_level string")
     alone = values.join(rooted, "key", "left_anti").select("key", F.lit(None).cast("string").alias("duplicate_of_level"))
     return walked.union(alone).withColumnRenamed("key", key)
 
 
-def ordered_fold(df: DataFrame, keys: list[str], fold: Callable[[pd.DataFrame], pd.DataFrame], schema: str, order: list[str]) -> DataFrame:
-    """`fold` over the rows of each key in order. For rules whose result depends on the order and that no window can
-    express; the key must divide the data into parts of bounded size (see leader_groups)."""
+def ordered_walk(df: DataFrame, keys: list[str], order: list[str], begin: Callable[[], Callable[[dict], tuple]], schema: str) -> DataFrame:
+    """One output row per row of df, in `schema`: `begin` gives a fresh step for each key, which is called with every row of
+    the key in order. For rules whose result depends on the order and that no window can express.
+
+    The rows of a key are sorted by Spark, which spills, and stream past in batches; only what the step remembers is held in
+    memory, so a key may have any number of rows.
+    """
+    names = df.columns
+    columns = [c.strip().split(" ")[0] for c in schema.split(",")]
 
-    def apply(rows: pd.DataFrame) -> pd.DataFrame:
-        return fold(rows.sort_values(order, kind="stable").reset_index(drop=True))
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, step = None, None
+        for batch in batches:
+            out = []
+            for values in zip(*[batch[c] for c in names], strict=True):
+                row = dict(zip(names, values, strict=True))
+                own = tuple(row[k] for k in keys)
+                if step is None or own != now:
+                    now, step = own, begin()
+                out.append(step(row))
+            yield pd.DataFrame(out, columns=columns)
 
-    return df.groupBy(*keys).applyInPandas(apply, schema)
+    return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInPandas(run, schema)
 
 
 def leader_groups(df: DataFrame, key: str, block: list[str], order: str, terms: str, threshold: float = 0.5) -> DataFrame:
@@ -61,28 +77,25 @@ def leader_groups(df: DataFrame, key: str, block: list[str], order: str, terms:
     kind = df.schema[key].dataType.simpleString()
     rows = df.select(*block, F.col(key).alias("key"), F.col(order).alias("order"), F.array_sort(F.array_distinct(terms)).alias("terms"))
 
-    def fold(part: pd.DataFrame) -> pd.DataFrame:
+    def begin() -> Callable[[dict], tuple]:
         leaders: list[tuple[object, set]] = []
         holders: dict[str, list[int]] = {}  # leaders by term: only those that share one are compared
-        out = []
-        for k, words in zip(part["key"], part["terms"], strict=True):
-            own = set(words) if words is not None else set()
-            best, name = 0.0, None
+
+        def step(row: dict) -> tuple:
+            own = set(row["terms"]) if row["terms"] is not None else set()
             for g in sorted({g for w in own for g in holders.get(w, ())}):
                 leader, theirs = leaders[g]
                 s = len(own & theirs) / len(own | theirs)
                 if s >= threshold:
-                    best, name = s, leader
-                    break
-            if name is None:
-                for w in own:
-                    holders.setdefault(w, []).append(len(leaders))
-                leaders.append((k, own))
-                best, name = 1.0, k
-            out.append((k, name, best))
-        return pd.DataFrame(out, columns=["key", "leader", "similarity"])
+                    return row["key"], leader, s
+            for w in own:
+                holders.setdefault(w, []).append(len(leaders))
+            leaders.append((row["key"], own))
+            return row["key"], row["key"], 1.0
 
-    return ordered_fold(rows, block, fold, f"key {kind}, leader {kind}, similarity double", ["order", "key"]).withColumnRenamed("key", key)
+        return step
+
+    return ordered_walk(rows, block, ["order", "key"], begin, f"key {kind}, leader {kind}, similarity double").withColumnRenamed("key", key)
 
 
 def growing_groups(df: DataFrame, key: str, block: list[str], day: str, terms: str, threshold: float = 0.5, lookback: int = 7) -> DataFrame:
@@ -92,8 +105,8 @@ def growing_groups(df: DataFrame, key: str, block: list[str], day: str, terms: s
     groups of their own.
 
     The result depends on the order, so a block is walked row by row. A walk is cut where it may be: rows of a block that lie
-    more than `lookback` days after all before them share no group with these, so each such run is a task of its own. Within
-    it a row meets only the groups of its window that share a term with it (an index by term), not all.
+    more than `lookback` days after all before them share no group with these, so each such run is a walk of its own. Within
+    it a row meets only the groups of its window that share a term with it (an index by term), and no others are held.
     """
     kind = df.schema[key].dataType.simpleString()
     rows = df.select(*block, F.col(key).alias("key"), F.col(day).alias("day"), F.array_sort(F.array_distinct(terms)).alias("terms"))
@@ -103,31 +116,36 @@ def growing_groups(df: DataFrame, key: str, block: list[str], day: str, terms: s
     days = days.withColumn("_start", start).withColumn("_run", F.sum("_start").over(order)).drop("_start")
     rows = rows.join(days, [*block, "day"])
 
-    def fold(part: pd.DataFrame) -> pd.DataFrame:
-        groups: list[list] = []  # name, terms, last day
+    def begin() -> Callable[[dict], tuple]:
+        groups: dict[int, list] = {}  # name, terms, last day; only those of the window are held
         holders: dict[str, set[int]] = {}
-        out = []
-        for k, when, words in zip(part["key"], part["day"], part["terms"], strict=True):
-            own = set(words) if words is not None else set()
+        state = {"next": 0, "day": None}
+
+        def step(row: dict) -> tuple:
+            when, own = row["day"], set(row["terms"]) if row["terms"] is not None else set()
+            if when != state["day"]:
+                for g in [g for g, (_, _, last) in groups.items() if (when - last).days > lookback]:
+                    for w in groups.pop(g)[1]:
+                        holders[w].discard(g)
+                        if not holders[w]:
+                            del holders[w]
+                state["day"] = when
             best, at = 0.0, -1
             for g in sorted({g for w in own for g in holders.get(w, ())}):
-                name, theirs, last = groups[g]
-                if (when - last).days > lookback:
-                    for w in theirs:
-                        holders[w].discard(g)
-                    continue
+                theirs = groups[g][1]
                 s = len(own & theirs) / len(own | theirs)
                 if s >= threshold and s > best:
                     best, at = s, g
             if at < 0:
-                groups.append([k, own, when])
-                best, at = 1.0, len(groups) - 1
+                best, at = 1.0, state["next"]
+                state["next"] += 1
+                groups[at] = [row["key"], own, when]
             else:
-                groups[at][1] = groups[at][1] | own
-                groups[at][2] = when
+                groups[at][1], groups[at][2] = groups[at][1] | own, when
             for w in own:
                 holders.setdefault(w, set()).add(at)
-            out.append((k, groups[at][0], best))
-        return pd.DataFrame(out, columns=["key", "leader", "similarity"])
+            return row["key"], groups[at][0], best
+
+        return step
 
-    return ordered_fold(rows, [*block, "_run"], fold, f"key {kind}, leader {kind}, similarity double", ["day", "key"]).withColumnRenamed("key", key)
+    return ordered_walk(rows, [*block, "_run"], ["day", "key"], begin, f"key {kind}, leader {kind}, similarity double").withColumnRenamed("key", key)
