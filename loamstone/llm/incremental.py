@@ -141,10 +141,11 @@ def one_per_text(sets: DataFrame) -> DataFrame:
 
 @dataclass
 class Staged:
-    """A batch before its verdict: `sets` (key, node, codes), `postings` of its texts, and in how many parts of the index
-    and with how many postings it will probe."""
+    """A batch before its verdict: `names` (key, node), its texts as `sets` (node, codes), their `postings`, and in which parts
+    of the index and with how many postings it will probe."""
 
     number: int
+    names: DataFrame
     sets: DataFrame
     postings: DataFrame
     parts: list[int]
@@ -189,7 +190,7 @@ class PrefixIndex:
         used = np.flatnonzero(counts)
         order = pa.table({"bucket": np.append(used, -1), "n": np.append(counts[used], sets.count())})
         self.spark.createDataFrame(order).coalesce(1).write.mode("overwrite").parquet(f"{self.folder}/order")
-        self._write(texts, self._postings(texts.withColumn("number", F.lit(HISTORY))), HISTORY)
+        self._write(texts, self._postings(texts.withColumn("number", F.lit(HISTORY))).drop("number"), HISTORY)
 
     def _postings(self, texts: DataFrame) -> DataFrame:
         counts, limit = self._order
@@ -197,7 +198,7 @@ class PrefixIndex:
 
     def _write(self, texts: DataFrame, rows: DataFrame, number: int) -> None:
         texts.write.mode("overwrite").option("compression", "zstd").parquet(f"{self.folder}/sets/batch={number}")
-        rows = rows.withColumn("rest", (F.col("common") == 2).cast("int")).drop("common", "number").sortWithinPartitions("rest", "part", "token")
+        rows = rows.withColumn("rest", (F.col("common") == 2).cast("int")).drop("common")
         # every task writes its own files of each part: nothing is shuffled, whatever the size of a part or a token
         writer = rows.write.mode("overwrite").partitionBy("rest", "part").option("compression", "zstd")
         writer.parquet(f"{self.folder}/postings/batch={number}")
@@ -205,17 +206,17 @@ class PrefixIndex:
     def stage(self, batches: DataFrame, key: str, text: Column, number: str) -> dict[int, Staged]:
         """Texts and postings of pending batches by their number (an int column), computed once for all of them."""
         record = F.struct(F.col(key).alias("key"), F.col(number).alias("number"), text.alias("text"))
-        sets = shingled(batches.select(record.alias("r")), "r", F.col("r.text"), self.width)
-        sets = stored(sets.select("key.key", "key.number", "node", "codes"), "batches")
-        texts = sets.groupBy("number", "node").agg(F.first("codes").alias("codes"))
-        rows = stored(self._postings(texts), "postings", ["number"])
+        whole = shingled(batches.select(record.alias("r")), "r", F.col("r.text"), self.width)
+        whole = stored(whole.select("key.key", "key.number", "node", "codes"), "batches")
+        names = stored(whole.select("key", "number", "node").distinct(), "names", ["number"])
+        sets = stored(whole.groupBy("number", "node").agg(F.first("codes").alias("codes")), "texts", ["number"])
+        rows = stored(self._postings(sets), "postings", ["number"])
         hit = rows.groupBy("number", "part").agg(F.count("*").alias("n"), F.count_if(F.col("common") > 0).alias("c")).collect()  # a row per batch and part
         out = {}
         for k in {r.number for r in hit}:
             own = [r for r in hit if r.number == k]
-            here = sets.where(F.col("number") == k).select("key", "node", "codes")
-            mine = rows.where(F.col("number") == k)
-            out[k] = Staged(k, here, mine, sorted(r.part for r in own), sum(r.n for r in own), sum(r.c for r in own))
+            here = [t.where(F.col("number") == k).drop("number") for t in (names, sets, rows)]
+            out[k] = Staged(k, *here, sorted(r.part for r in own), sum(r.n for r in own), sum(r.c for r in own))
         return out
 
     def postings_read(self, staged: Staged, rest: int) -> DataFrame:
@@ -232,7 +233,7 @@ class PrefixIndex:
         return found
 
     def _linked(self, staged: Staged, rows: DataFrame, rest: int) -> DataFrame:
-        rows = rows.drop("common", "part", "number")
+        rows = rows.drop("common", "part")
         small = F.broadcast(rows) if staged.rows <= BROADCAST_POSTINGS else rows
         pairs = checkpointed(probe(self.postings_read(staged, rest), small, self.threshold))
         known = self.spark.read.schema("node long, codes array<int>, batch int").parquet(f"{self.folder}/sets").where(F.col("batch") < staged.number)
@@ -241,9 +242,8 @@ class PrefixIndex:
 
     def append(self, staged: Staged, accepted: DataFrame) -> None:
         """Adds the texts of those of the batch's records whose key is in `accepted` (key)."""
-        kept = staged.sets.join(accepted, "key", "left_semi").select("node").distinct()
-        texts = staged.sets.join(kept, "node", "left_semi").groupBy("node").agg(F.first("codes").alias("codes"))
-        self._write(texts, staged.postings.join(kept, "node", "left_semi"), staged.number)
+        kept = staged.names.join(accepted, "key", "left_semi").select("node").distinct()
+        self._write(staged.sets.join(kept, "node", "left_semi"), staged.postings.join(kept, "node", "left_semi"), staged.number)
 
 
 def repeated_records(
@@ -285,11 +285,11 @@ def repeated_records(
         new = own.join(known.union(fresh.select("digest")), "digest", "left_semi").select("key")
         staged = waiting.get(number)
         if staged is not None:
-            new = new.union(staged.sets.join(index.similar(staged), "node", "left_semi").select("key"))
+            new = new.union(staged.names.join(index.similar(staged), "node", "left_semi").select("key"))
         new = checkpointed(new.distinct())
         cases = new if cases is None else cases.union(new)
         if staged is not None and (kept or number != numbers[-1]):  # nothing meets the last batch of an index that is not kept
-            index.append(staged, staged.sets.select("key").distinct().join(cases, "key", "left_anti"))
+            index.append(staged, staged.names.select("key").distinct().join(cases, "key", "left_anti"))
     return cases.distinct().select(F.col("key").alias(key))
 
 

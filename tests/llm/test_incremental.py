@@ -78,7 +78,7 @@ def test_index_grows(spark):
     batch = spark.createDataFrame(first, "id string, t string")
     staged = index.stage(batch.withColumn("k", F.lit(1)), "id", F.col("t"), "k")[1]
     found = index.similar(staged)
-    hit = staged.sets.join(found, "node", "left_semi").select("key")
+    hit = staged.names.join(found, "node", "left_semi").select("key")
     assert [r.key for r in hit.collect()] == ["a"]
     index.append(staged, batch.select(F.col("id").alias("key")).join(hit, "key", "left_anti"))
     size = lambda: spark.read.parquet(f"{index.folder}/postings").count()
@@ -88,7 +88,7 @@ def test_index_grows(spark):
     assert size() == before
     small = spark.createDataFrame([("d", "nothing like it at all")], "id string, t string")
     later = index.stage(small.union(spark.createDataFrame([("c", first[1][1] + " more words")], "id string, t string")).withColumn("k", F.lit(2)), "id", F.col("t"), "k")[2]
-    assert [r.key for r in later.sets.join(index.similar(later), "node", "left_semi").collect()] == ["c"]
+    assert [r.key for r in later.names.join(index.similar(later), "node", "left_semi").collect()] == ["c"]
     # only the folders of the batch's tokens are read
     few = index.stage(small.withColumn("k", F.lit(3)), "id", F.col("t"), "k")[3]
     read = {r[0].split("part=")[1].split("/")[0] for r in index.postings_read(few, 0).select(F.input_file_name()).distinct().collect()}
