@@ -243,7 +243,9 @@ class PrefixIndex:
     def append(self, staged: Staged, accepted: DataFrame) -> None:
         """Adds the texts of those of the batch's records whose key is in `accepted` (key)."""
         kept = staged.names.join(accepted, "key", "left_semi").select("node").distinct()
-        self._write(staged.sets.join(kept, "node", "left_semi"), staged.postings.join(kept, "node", "left_semi"), staged.number)
+        rows = staged.postings.join(kept, "node", "left_semi")
+        # few files for a small batch; a part that is large is divided
+        self._write(staged.sets.join(kept, "node", "left_semi"), rows.hint("rebalance", "part"), staged.number)
 
 
 def repeated_records(
